@@ -139,7 +139,7 @@ def cooldown(
     feed = alerts.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, [key], width=DAY)
     feed = chunks.label(feed).drop("_span")
-    group = chunks.group
+    group, columns = chunks.group, alerts.columns  # plain lists: tasks must not see DataFrames
 
     def report(ids, pdf: pd.DataFrame) -> pd.DataFrame:
         found = _outcomes(np.unique(pdf["_us"].to_numpy()), period)
@@ -170,7 +170,7 @@ def cooldown(
         last = None if last is None or pd.isna(last) else int(last)
         chosen = _send_times(np.unique(pdf["_us"].to_numpy()), last, period)
         first = ~pdf["_us"].duplicated()
-        return pdf.assign(sent=pdf["_us"].isin(chosen) & first)[[*alerts.columns, "sent"]]
+        return pdf.assign(sent=pdf["_us"].isin(chosen) & first)[[*columns, "sent"]]
 
     schema = T.StructType([*alerts.schema.fields, T.StructField("sent", T.BooleanType())])
     return feed.groupBy(*group).cogroup(incoming.groupBy(*group)).applyInPandas(mark, schema)

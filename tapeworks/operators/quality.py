@@ -15,6 +15,7 @@ EXPECTED_TICKS, HEALTHY_SHARE = 60, 0.9
 
 
 def content_hash(columns: list[str]):
+    """64-bit hash of the listed fields, nulls included."""
     return F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
 

@@ -30,7 +30,8 @@ def decoded(stream: DataFrame, schema: T.StructType) -> DataFrame:
 
 def as_records(rows: DataFrame, key: str = "symbol") -> DataFrame:
     """One (key, value) record per row, the value being the whole row as JSON."""
-    value = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    value = F.to_json(F.struct(*rows.columns), options)
     return rows.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
