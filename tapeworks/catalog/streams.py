@@ -7,8 +7,10 @@ from tapeworks.catalog.aggregates import DOUBLES, PLAIN, sql_books
 from tapeworks.catalog.ordered import SQL_LAGS, SQL_SYMBOL_ALERTS, alert_sql, lag_readings, symbol_alerts
 from tapeworks.catalog.registry import query
 from tapeworks.functions.timecols import DAY, HOUR, MINUTE, SECOND
+from tapeworks.plans import ticks as tick_plan
+from tapeworks.schemas import TICK_SCHEMA
 from tapeworks.session import work_folder
-from tapeworks.streaming import alerts, bars, book, state
+from tapeworks.streaming import alerts, bars, book, state, ticks
 from tapeworks.streaming.drain import drain, dropped_late
 
 
@@ -111,3 +113,98 @@ def t10(spark, folder):
     twice = feed(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     once = alerts.streaming_dedupe(twice, ["symbol", "seq", "price", "k"])
     return drain(V.with_us(once).select("symbol", "us", "seq"))[0]
+
+
+# The hours of the feed stand in for seconds, and the horizons are stretched alike.
+SPANS = {"1s": HOUR, "1min": 6 * HOUR, "1h": DAY, "24h": 3 * DAY}
+
+
+def _ticks_sql() -> str:
+    metrics = []
+    for name, width in SPANS.items():
+        label = "24h_calculated" if name == "24h" else name
+        over = f"OVER (PARTITION BY symbol ORDER BY ts RANGE BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
+        if name != "24h":
+            first = f"first_value(price) {over}"
+            metrics += [f"max(price) {over} AS high_{label}", f"min(price) {over} AS low_{label}",
+                        f"price - {first} AS price_change_{label}",
+                        f"(price - {first}) / {first} * 100 AS price_change_percent_{label}"]
+        if name != "1s":
+            metrics += [f"sum(buy + sell) {over} AS volume_{label}", f"sum(buy) {over} AS buy_volume_{label}",
+                        f"sum(sell) {over} AS sell_volume_{label}"]
+    doubles = [f.name for f in TICK_SCHEMA if f.dataType.simpleString() == "double"]
+    plain = [f.name for f in TICK_SCHEMA if f.dataType.simpleString() != "double"]
+    return f"""WITH {sql_books(HOUR)},
+trades AS (SELECT symbol, us, seq, price, k::DOUBLE AS size, side,
+                  price - lag(price) OVER (PARTITION BY symbol ORDER BY us, seq) AS dp
+           FROM feed WHERE event_type <> 'error'),
+flow AS (
+  SELECT symbol, us - us % {HOUR} AS bucket, coalesce(sum(size) FILTER (side = 'buy'), 0) AS buy,
+    coalesce(sum(size) FILTER (side = 'sell'), 0) AS sell, count(*) AS n, arg_max(price, (us, seq)) AS last_price,
+    coalesce(sum(price * size) FILTER (size > 0) / sum(size) FILTER (size > 0), 0) AS vwap, avg(price) AS avg_price,
+    sum(dp) AS dp, sum(CASE WHEN side = 'buy' THEN size ELSE -size END) FILTER (dp IS NOT NULL) AS sv
+  FROM trades GROUP BY 1, 2),
+orders AS (SELECT symbol, us - us % {HOUR} AS bucket, sum(CASE WHEN side = 'buy' THEN size ELSE -size END) AS ofi
+           FROM changes GROUP BY 1, 2),
+shown AS (SELECT symbol, us - us % {HOUR} AS bucket, arg_max(value, (us, seq)) AS v, arg_max(k, (us, seq)) AS k
+          FROM feed WHERE event_type = 'view' GROUP BY 1, 2),
+tops AS (SELECT symbol, bucket, max(price) FILTER (side = 'buy') AS bid, min(price) FILTER (side = 'sell') AS ask
+         FROM books GROUP BY 1, 2),
+state AS (
+  SELECT i.symbol, i.bucket, coalesce(buy, 0) AS buy, coalesce(sell, 0) AS sell, coalesce(n, 0) AS n,
+    coalesce(vwap, 0) AS vwap, avg_price, coalesce(ofi, 0) AS ofi, bid, ask,
+    CASE WHEN sv <> 0 THEN dp / sv ELSE 0 END AS impact,
+    last_value(last_price IGNORE NULLS) OVER w AS price, last_value(v IGNORE NULLS) OVER w AS v,
+    last_value(k IGNORE NULLS) OVER w AS k, sum(coalesce(buy - sell, 0)) OVER w AS cvd
+  FROM instants i LEFT JOIN flow USING (symbol, bucket) LEFT JOIN orders USING (symbol, bucket)
+    LEFT JOIN shown USING (symbol, bucket) LEFT JOIN tops USING (symbol, bucket)
+  WINDOW w AS (PARTITION BY i.symbol ORDER BY i.bucket)),
+quoted AS (
+  SELECT *, bucket + {HOUR} AS ts, CASE WHEN bid > 0 AND ask > 0 THEN bid ELSE v + 100 - k::DOUBLE / 100 END AS best_bid,
+    CASE WHEN bid > 0 AND ask > 0 THEN ask ELSE v + 100 + k::DOUBLE / 100 END AS best_ask
+  FROM state WHERE v IS NOT NULL),
+middle AS (SELECT *, (best_bid + best_ask) / 2 AS mid, best_ask - best_bid AS spread FROM quoted),
+depths AS (
+  SELECT m.symbol, m.bucket, sum(size) FILTER (side = 'buy' AND price_ >= mid * 0.98) AS bid_depth,
+         sum(size) FILTER (side = 'sell' AND price_ <= mid * 1.02) AS ask_depth
+  FROM middle m JOIN (SELECT symbol, bucket, side, price AS price_, size FROM books) b USING (symbol, bucket)
+  GROUP BY 1, 2),
+horizon AS (SELECT symbol, bucket, {', '.join(metrics)} FROM middle),
+ticks_ AS (
+  SELECT m.symbol, price, ts // 1000 AS "timestamp", v * 10 AS volume_24h, v + 105 AS high_24h, v + 95 AS low_24h,
+    price - (v + 99) AS price_change_24h, (price - (v + 99)) / (v + 99) * 100 AS price_change_percent_24h,
+    n AS number_of_trades, n AS trade_count_1s, h.*, buy + sell AS volume_1s, buy AS buy_volume_1s,
+    sell AS sell_volume_1s, CASE WHEN sell > 0 THEN buy / sell ELSE 0 END AS buy_sell_volume_ratio_1s,
+    CASE WHEN sell > 0 THEN buy / sell ELSE 0 END AS buy_sell_ratio, spread AS bid_ask_spread_1s,
+    mid AS mid_price_1s, best_bid AS best_bid_1s, best_ask AS best_ask_1s,
+    coalesce(bid_depth, 0) AS bid_depth_2pct_1s, coalesce(ask_depth, 0) AS ask_depth_2pct_1s,
+    coalesce(bid_depth, 0) + coalesce(ask_depth, 0) AS depth_2pct_1s, vwap AS vwap_1s,
+    CASE WHEN mid > 0 THEN coalesce(avg_price - mid, 0) ELSE 0 END AS micro_price_deviation_1s, cvd AS cvd_1s,
+    ofi AS ofi_1s, impact AS kyles_lambda_1s,
+    strftime(timezone('America/New_York', make_timestamptz(ts)), '%Y-%m-%dT%H:%M:%S.%f') || '-05:00' AS ingestion_time
+  FROM middle m LEFT JOIN depths d USING (symbol, bucket)
+    JOIN (SELECT * RENAME (symbol AS s_, bucket AS b_) FROM horizon) h ON h.s_ = m.symbol AND h.b_ = m.bucket),
+healthy AS (
+  SELECT *, CASE WHEN bid_ask_spread_1s > 0 THEN depth_2pct_1s / (bid_ask_spread_1s *
+    CASE WHEN price_change_percent_1s <> 0 THEN abs(price_change_percent_1s) ELSE 1 END) ELSE 0 END AS liquidity_health_1s
+  FROM ticks_)
+SELECT {', '.join(plain)}, {', '.join(f'round({c} + {V.NUDGE}, 6) + 0.0 AS {c}' for c in doubles)} FROM healthy"""
+
+
+def _tick_rows(made):
+    doubles = {n: F.col(n) + V.NUDGE for n, kind in made.dtypes if kind == "double"}
+    return V.rounded(made.withColumns(doubles))
+
+
+@query("t03_ticks", _ticks_sql())
+def t03(spark, folder):
+    feeds = V.trades(spark, folder), V.tickers(spark, folder), V.changes(spark, folder)
+    return _tick_rows(tick_plan.ticks(*feeds, step=HOUR, widths=SPANS))
+
+
+@query("t03_ticks_stream", _ticks_sql()
+       + f" WHERE \"timestamp\" * 1000 <= (SELECT max(us) FROM feed) - {5 * MINUTE}")
+def t03_stream(spark, folder):
+    feeds = (as_(feed(spark, folder)) for as_ in (V.as_trades, V.as_tickers, V.as_changes))
+    made = ticks.streaming_ticks(*feeds, step="1 hour", step_us=HOUR, widths=SPANS, lateness="5 minutes")
+    return _tick_rows(drain(made)[0])

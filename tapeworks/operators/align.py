@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions.timecols import DAY, SECOND, floor_to, micros
-from tapeworks.operators.chunks import Chunks, measure
+from tapeworks.operators.chunks import ROWS_PER_CHUNK, Chunks, measure
 from tapeworks.operators.scan import last_known
 
 
@@ -64,6 +64,11 @@ def grid(feed: DataFrame, step: int = SECOND, keys: list[str] | None = None) ->
     return blocks.select(*keys, F.explode(F.sequence("_block", last, F.lit(step))).alias("bucket"))
 
 
+def grid_chunks(step: int) -> Chunks:
+    """Chunks of a grid need no counting: a bucket is one row."""
+    return Chunks(("symbol",), step * min(ROWS_PER_CHUNK, max(1, DAY // step)), "bucket", "bucket")
+
+
 def on_grid(
     feed: DataFrame,
     per_bucket: DataFrame,
@@ -77,5 +82,5 @@ def on_grid(
     filled = grid(feed, step).join(per_bucket, ["symbol", "bucket"], "left").withColumns(
         {c: F.coalesce(F.col(c), F.lit(0)) for c in zero}
     )
-    chunks = chunks or measure(filled, ["symbol"], pos="bucket", seq="bucket", width=max(DAY, step))
+    chunks = chunks or grid_chunks(step)
     return last_known(filled, chunks, ["bucket"], {c: F.col(c) for c in carry}, inclusive=True)

@@ -17,6 +17,7 @@ from tapeworks.functions import scalars as S
 from tapeworks.functions.timecols import HOUR, SECOND, floor_to, micros
 from tapeworks.operators.chunks import CUT, Chunks, measure
 from tapeworks.operators.scan import last_known
+from tapeworks.session import settled
 
 # Levels kept per side, and the depth band around the mid price.
 MAX_LEVELS = 50
@@ -49,7 +50,7 @@ def books(changes: DataFrame, every: int, chunks: Chunks | None = None) -> DataF
     A level lives from its change until its next one, and ends with the snapshot era it
     belongs to. The result holds (levels x buckets) rows; pick ``every`` accordingly.
     """
-    levels = level_changes(changes, every, chunks)
+    levels = settled(level_changes(changes, every, chunks))
     era = levels.groupBy("symbol", "bucket").agg(F.max("_snap").alias("_era"))
     span = era.groupBy("symbol").agg(F.max("bucket").alias("_end"))
     # one row per symbol and bucket; the running maximum fills eras of buckets without changes
@@ -133,22 +134,20 @@ LEVELS = "array<struct<price:double,size:double>>"
 QUOTE_SCHEMA = f"symbol string, bucket long, cut struct<c:long,s:long>, bids {LEVELS}, asks {LEVELS}"
 
 
-def _opening(feed: DataFrame) -> DataFrame:
-    """The live levels each chunk starts with, from chunk-level last sizes."""
+def _opening(ends: DataFrame) -> DataFrame:
+    """The live levels each chunk starts with, from the last size of each level per chunk."""
     numbered = W.partitionBy("symbol").orderBy(*CUT)
+    # the last change of a chunk belongs to its last era and is the last one of some level
     eras = (
-        feed.groupBy("symbol", *CUT).agg(F.max("_snap").alias("_last_snap"))
+        ends.groupBy("symbol", *CUT).agg(F.max("_snap").alias("_last_snap"))
         .withColumns({
             "_n": F.row_number().over(numbered),
             "_era": F.max("_last_snap").over(numbered.rowsBetween(W.unboundedPreceding, -1)),
         })
     )
     end = eras.groupBy("symbol").agg(F.max("_n").alias("_end"))
-    sizes = (
-        feed.groupBy("symbol", *CUT, "side", "price")
-        .agg(F.max_by(F.struct("size", "_snap"), F.struct("_us", "seq")).alias("_level"))
-        .join(eras.select("symbol", *CUT, "_n"), ["symbol", *CUT])
-        .select("symbol", "side", "price", "_n", "_level.*")
+    sizes = ends.join(eras.select("symbol", *CUT, "_n"), ["symbol", *CUT]).select(
+        "symbol", "side", "price", "_n", "size", "_snap"
     )
     following = W.partitionBy("symbol", "side", "price").orderBy("_n")
     lived = (
@@ -203,9 +202,12 @@ def quotes(
         return pd.DataFrame(rows, columns=["symbol", "bucket", "cut", "bids", "asks"])
 
     slim = feed.select("symbol", *CUT, "_us", "seq", "kind", "side", "price", "size")
-    folded = slim.groupBy("symbol", *CUT).cogroup(
-        _opening(feed).groupBy("symbol", *CUT)
-    ).applyInPandas(fold, QUOTE_SCHEMA)
+    ends = feed.groupBy("symbol", *CUT, "side", "price").agg(
+        F.max_by(F.struct("size", "_snap"), F.struct("_us", "seq")).alias("_last")
+    ).select("symbol", *CUT, "side", "price", "_last.*")
+    opening = _opening(settled(ends))
+    opening = opening.toDF(*opening.columns)  # columns of its own: both sides come from one feed
+    folded = slim.groupBy("symbol", *CUT).cogroup(opening.groupBy("symbol", *CUT)).applyInPandas(fold, QUOTE_SCHEMA)
     if not chunks.splits and chunks.width % step == 0:
         return folded.drop("cut")
     # a cut inside a bucket leaves two rows for it, of which the later chunk's is final

@@ -36,27 +36,50 @@ def _parts() -> dict[str, tuple]:
     }
 
 
-def block_count(samples: DataFrame, key: str, width: int, rows: int, limit: int = 1024) -> int:
+def block_counts(
+    samples: DataFrame, key: str, widths: dict[str, int], rows: int, limit: int = 1 << 20
+) -> dict[str, int]:
     """Blocks per horizon so that the fullest block holds at most about ``rows`` rows."""
-    m = 24 if width >= DAY else 1
-    while m < limit and width % (2 * m) == 0:
-        block = floor_to(F.col("_us"), width // m)
-        fullest = samples.groupBy(key, block).count().agg(F.max("count")).first()[0] or 0
-        if fullest <= rows:
-            break
-        m *= 2
-    return m
+    parts, todo = {name: 1 for name in widths}, dict(widths)
+    while todo:
+        blocks = F.array(*[
+            F.struct(F.lit(n).alias("name"), floor_to(F.col("_us"), w // parts[n]).alias("block"))
+            for n, w in todo.items()
+        ])
+        counted = samples.select(key, F.explode(blocks).alias("b")).groupBy(key, "b").count()
+        fullest = dict(counted.groupBy("b.name").agg(F.max("count")).collect())
+        over = {}
+        for name, width in todo.items():
+            factor = 1
+            while (fullest.get(name) or 0) > rows * factor and parts[name] * factor < limit:
+                factor *= 2
+            while factor > 1 and width % (parts[name] * factor):
+                factor //= 2
+            if factor > 1:
+                parts[name] *= factor
+                over[name] = width
+        todo = over
+    return parts
 
 
 def _one_horizon(feed: DataFrame, key: str, name: str, width: int, m: int, keep: list[str]) -> DataFrame:
     length = width // m
-    block = floor_to(F.col("_us"), length)
     parts = _parts()
-    own = feed.withColumns({"_block": block, "_at": F.col("_us"), "_own": F.lit(True)})
-    past = feed.select(key, "_us", "seq", "price", "buy_vol", "sell_vol").withColumns(
-        {"_block": block + width, "_at": F.col("_us") + width, "_own": F.lit(False)}
+    block = floor_to(F.col("_us"), length)
+    # one copy of a row in its own block, and one of its figures where later rows look back
+    figures = [key, "_us", "seq", "price", "buy_vol", "sell_vol"]
+    rest = [c for c in keep if c not in figures]
+    nothing = F.lit(None).cast(feed.select(F.struct(*rest) if rest else F.struct(F.lit(0))).schema[0].dataType)
+    copies = F.array(
+        F.struct(F.lit(True).alias("own"), block.alias("block"), F.col("_us").alias("at"),
+                 (F.struct(*rest) if rest else F.struct(F.lit(0))).alias("rest")),
+        F.struct(F.lit(False).alias("own"), (block + width).alias("block"),
+                 (F.col("_us") + width).alias("at"), nothing.alias("rest")),
+    )
+    both = feed.select(*figures, F.explode(copies).alias("_c")).select(
+        *figures, F.col("_c.own").alias("_own"), F.col("_c.block").alias("_block"),
+        F.col("_c.at").alias("_at"), F.col("_c.rest").alias("_rest"),
     )
-    both = own.unionByName(past, allowMissingColumns=True)
 
     group = W.partitionBy(key, "_block")
     start = group.orderBy("_at").rangeBetween(W.unboundedPreceding, W.currentRow)
@@ -66,7 +89,7 @@ def _one_horizon(feed: DataFrame, key: str, name: str, width: int, m: int, keep:
     for part, (how, value) in parts.items():
         columns[f"_s_{part}"] = how(F.when(F.col("_own"), value)).over(start)
         columns[f"_e_{part}"] = how(F.when(~F.col("_own"), value)).over(end)
-    out = both.withColumns(columns).filter("_own")
+    out = both.withColumns(columns).filter("_own").select("*", "_rest.*").drop("_rest")
 
     sources = ["e", "s"]
     if m > 1:
@@ -105,14 +128,17 @@ def horizons(
     samples: DataFrame,
     widths: dict[str, int] | None = None,
     key: str = "symbol",
-    rows_per_block: int = ROWS_PER_CHUNK,
+    rows_per_block: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Add ``<metric>_<name>`` per horizon to samples(symbol, ts, seq, price, buy_vol, sell_vol)."""
+    """Add ``<metric>_<name>`` per horizon to samples(symbol, ts, seq, price, buy_vol, sell_vol).
+
+    ``rows_per_block=None`` skips the count of rows per block, for feeds whose pace is known.
+    """
+    widths = widths or HORIZONS
     out = samples.withColumn("_us", micros(F.col("ts")))
-    slim = out.select(key, "_us")
-    for name, width in (widths or HORIZONS).items():
-        m = block_count(slim, key, width, rows_per_block)
-        out = _one_horizon(out, key, name, width, m, out.columns)
+    parts = {} if rows_per_block is None else block_counts(out, key, widths, rows_per_block)
+    for name, width in widths.items():
+        out = _one_horizon(out, key, name, width, parts.get(name, 1), out.columns)
     return out.drop("_us")
 
 

@@ -16,73 +16,66 @@ from pyspark.sql import functions as F
 from tapeworks.operators.chunks import CUT, Chunks
 
 RUNNING: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "max": F.max, "min": F.min}
+JOINED: dict[str, Callable[[Column, Column], Column]] = {
+    "sum": lambda here, before: F.coalesce(here + before, here, before),
+    "max": lambda here, before: F.greatest(here, before),
+    "min": lambda here, before: F.least(here, before),
+}
 
 
-def _before(keys, order):
-    return W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+def scan(
+    df: DataFrame,
+    chunks: Chunks,
+    order: list[str],
+    last: dict[str, Column] | None = None,
+    totals: dict[str, tuple[str, Column]] | None = None,
+    inclusive: bool = False,
+) -> DataFrame:
+    """Both kinds of ordered columns in one pass.
+
+    ``last``: latest non-null value before the row (``inclusive``: or at it). ``totals``: running
+    ``sum``/``max``/``min`` up to and including the row, given as (how, value).
+    """
+    last, totals = last or {}, totals or {}
+    given = {**last, **{n: value for n, (_, value) in totals.items()}}
+    feed = chunks.label(df).withColumns({f"_in_{n}": value for n, value in given.items()})
+
+    rank, ends, carry = F.struct(*order), [], []
+    before = W.partitionBy(*chunks.keys).orderBy(*CUT).rowsBetween(W.unboundedPreceding, -1)
+    for n in last:
+        value = F.col(f"_in_{n}")
+        ends.append(F.max_by(value, F.when(value.isNotNull(), rank)).alias(f"_end_{n}"))
+        carry.append(F.last(f"_end_{n}", ignorenulls=True).over(before).alias(f"_pre_{n}"))
+    for n, (how, _) in totals.items():
+        ends.append(RUNNING[how](F.col(f"_in_{n}")).alias(f"_end_{n}"))
+        carry.append(RUNNING[how](F.col(f"_end_{n}")).over(before).alias(f"_pre_{n}"))
+    carried = feed.groupBy(*chunks.group).agg(*ends).select(*chunks.group, *carry)
+
+    inside = W.partitionBy(*chunks.group).orderBy(*order)
+    to_here = inside.rowsBetween(W.unboundedPreceding, 0)
+    to_last = to_here if inclusive else inside.rowsBetween(W.unboundedPreceding, -1)
+    here = {n: F.last(f"_in_{n}", ignorenulls=True).over(to_last) for n in last}
+    here |= {n: RUNNING[how](F.col(f"_in_{n}")).over(to_here) for n, (how, _) in totals.items()}
+    out = feed.withColumns(here).join(carried, chunks.group, "left")
+    out = out.withColumns({
+        **{n: F.coalesce(n, f"_pre_{n}") for n in last},
+        **{n: JOINED[how](F.col(n), F.col(f"_pre_{n}")) for n, (how, _) in totals.items()},
+    })
+    return chunks.strip(out.drop(*[f"_{p}_{n}" for n in given for p in ("in", "pre")]))
 
 
 def running(
     df: DataFrame, chunks: Chunks, order: list[str], totals: dict[str, tuple[str, Column]]
 ) -> DataFrame:
     """Running ``sum``/``max``/``min`` from the first row of a key to the current row."""
-    feed = chunks.label(df).withColumns({f"_in_{n}": value for n, (_, value) in totals.items()})
-    carried = (
-        feed.groupBy(*chunks.group)
-        .agg(*[RUNNING[how](F.col(f"_in_{n}")).alias(f"_all_{n}") for n, (how, _) in totals.items()])
-        .select(
-            *chunks.group,
-            *[
-                RUNNING[how](F.col(f"_all_{n}")).over(_before(chunks.keys, CUT)).alias(f"_pre_{n}")
-                for n, (how, _) in totals.items()
-            ],
-        )
-    )
-    inside = W.partitionBy(*chunks.group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    out = feed.withColumns(
-        {n: RUNNING[how](F.col(f"_in_{n}")).over(inside) for n, (how, _) in totals.items()}
-    ).join(carried, chunks.group, "left")
-    joined = {}
-    for n, (how, _) in totals.items():
-        here, before = F.col(n), F.col(f"_pre_{n}")
-        if how == "sum":
-            joined[n] = F.coalesce(here + before, here, before)
-        else:
-            joined[n] = (F.greatest if how == "max" else F.least)(here, before)
-    out = out.withColumns(joined)
-    return chunks.strip(out.drop(*[f"_{p}_{n}" for n in totals for p in ("in", "pre")]))
+    return scan(df, chunks, order, totals=totals)
 
 
 def last_known(
-    df: DataFrame,
-    chunks: Chunks,
-    order: list[str],
-    values: dict[str, Column],
-    inclusive: bool = False,
+    df: DataFrame, chunks: Chunks, order: list[str], values: dict[str, Column], inclusive: bool = False
 ) -> DataFrame:
     """Latest non-null value before the current row (``inclusive``: or at it), per key."""
-    feed = chunks.label(df).withColumns({f"_in_{n}": value for n, value in values.items()})
-    rank = F.struct(*order)
-    tails = feed.groupBy(*chunks.group).agg(*[
-        F.max_by(F.col(f"_in_{n}"), F.when(F.col(f"_in_{n}").isNotNull(), rank)).alias(f"_tail_{n}")
-        for n in values
-    ])
-    carried = tails.select(
-        *chunks.group,
-        *[
-            F.last(f"_tail_{n}", ignorenulls=True).over(_before(chunks.keys, CUT)).alias(f"_pre_{n}")
-            for n in values
-        ],
-    )
-    inside = W.partitionBy(*chunks.group).orderBy(*order).rowsBetween(
-        W.unboundedPreceding, 0 if inclusive else -1
-    )
-    out = (
-        feed.withColumns({n: F.last(f"_in_{n}", ignorenulls=True).over(inside) for n in values})
-        .join(carried, chunks.group, "left")
-        .withColumns({n: F.coalesce(F.col(n), F.col(f"_pre_{n}")) for n in values})
-    )
-    return chunks.strip(out.drop(*[f"_{p}_{n}" for n in values for p in ("in", "pre")]))
+    return scan(df, chunks, order, last=values, inclusive=inclusive)
 
 
 def with_preceding(

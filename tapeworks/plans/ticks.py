@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import scalars as S
-from tapeworks.functions.timecols import DAY, SECOND, iso_text, micros, millis
-from tapeworks.operators.align import grid
+from tapeworks.functions.timecols import SECOND, iso_text, micros, millis
+from tapeworks.operators.align import grid, grid_chunks
 from tapeworks.operators.book import DEPTH_BAND, quotes
 from tapeworks.operators.chunks import measure
-from tapeworks.operators.flow import bucketed, order_flow, price_impact, trade_flow
+from tapeworks.operators.flow import bucketed, order_flow, trade_aggregates
 from tapeworks.operators.horizons import HORIZONS, horizons
-from tapeworks.operators.scan import last_known, running
+from tapeworks.operators.scan import last_known, scan
 from tapeworks.schemas import TICK_SCHEMA
+from tapeworks.session import settled
 
 
 def side_depth(levels: Column, mid: Column, bid: bool, band: float = DEPTH_BAND) -> Column:
@@ -28,37 +29,37 @@ def side_depth(levels: Column, mid: Column, bid: bool, band: float = DEPTH_BAND)
 
 def per_bucket(trades: DataFrame, tickers: DataFrame, changes: DataFrame, step: int) -> DataFrame:
     """What each bucket brings: flow, impact, order flow, and the last price, ticker and book."""
-    point = F.struct(micros(F.col("ts")), "seq")
-    prices = trades.select("symbol", "ts", "seq", "price").unionByName(
-        tickers.select("symbol", "ts", "seq", "price")
-    )
-    last_price = bucketed(prices, step).groupBy("symbol", "bucket").agg(
-        F.max_by("price", point).alias("latest_price")
-    )
-    shown = [c for c in tickers.columns if c not in ("symbol", "ts", "seq")]
-    last_ticker = bucketed(tickers, step).groupBy("symbol", "bucket").agg(
-        F.max_by(F.struct(*shown), point).alias("ticker")
+    by, point = ["symbol", "bucket"], F.struct(micros(F.col("ts")), "seq")
+
+    feed = trades.withColumn("_us", micros(F.col("ts")))
+    linked = last_known(feed, measure(feed, ["symbol"]), ["_us", "seq"], {"_before": F.col("price")})
+    signed = F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size"))
+    known = F.col("_before") > 0
+    flow = bucketed(linked, step).groupBy(*by).agg(
+        *trade_aggregates(),
+        F.sum(F.when(known, F.col("price") - F.col("_before"))).alias("_move"),
+        F.sum(F.when(known, signed)).alias("_signed"),
+        F.max(F.struct("_us", "seq", "price")).alias("_traded"),
     )
     # a ticker without both quotes leaves the quotes of an earlier one standing
-    quoted = tickers.filter((F.col("best_bid").isNotNull()) & F.col("best_ask").isNotNull())
-    last_quote = bucketed(quoted, step).groupBy("symbol", "bucket").agg(
-        F.max_by(F.struct("best_bid", "best_ask"), point).alias("quote")
-    )
-    parts = [
-        last_price,
-        last_ticker,
-        last_quote,
-        trade_flow(trades, step),
-        price_impact(trades, step),
-        order_flow(changes, step).select("symbol", "bucket", "ofi"),
-        quotes(changes, step).select("symbol", "bucket", F.struct("bids", "asks").alias("book")),
-    ]
-    whole = grid(
-        prices.select("symbol", "ts").unionByName(changes.select("symbol", "ts")), step
+    shown = [c for c in tickers.columns if c not in ("symbol", "ts", "seq")]
+    quoted = F.col("best_bid").isNotNull() & F.col("best_ask").isNotNull()
+    told = bucketed(tickers, step).groupBy(*by).agg(
+        F.max_by(F.struct(*shown), point).alias("ticker"),
+        F.max_by(F.struct("best_bid", "best_ask"), F.when(quoted, point)).alias("quote"),
+        F.max(F.struct(micros(F.col("ts")).alias("_us"), "seq", "price")).alias("_told"),
     )
-    for part in parts:
-        whole = whole.join(part, ["symbol", "bucket"], "left")
-    return whole
+    feeds = [df.select("symbol", "ts") for df in (trades, tickers, changes)]
+    whole = grid(feeds[0].unionByName(feeds[1]).unionByName(feeds[2]), step)
+    for part in (
+        flow, told, order_flow(changes, step).select(*by, "ofi"),
+        quotes(changes, step).select(*by, F.struct("bids", "asks").alias("book")),
+    ):
+        whole = whole.join(part, by, "left")
+    return whole.withColumns({
+        "latest_price": F.greatest("_traded", "_told")["price"],
+        "kyles_lambda": S.price_impact(F.col("_move"), F.col("_signed")),
+    })
 
 
 def ticks(
@@ -72,16 +73,13 @@ def ticks(
 
     ``widths`` overrides the lengths of the four horizons, whose names stay.
     """
-    whole = per_bucket(trades, tickers, changes, step)
-    chunks = measure(
-        grid(trades.select("symbol", "ts"), step), ["symbol"], width=max(DAY, step),
-        pos="bucket", seq="bucket",
-    )
-    kept = ["latest_price", "ticker", "quote", "book"]
-    state = last_known(whole, chunks, ["bucket"], {c: F.col(c) for c in kept}, inclusive=True)
+    whole = settled(per_bucket(trades, tickers, changes, step))
     buy, sell = S.or_zero(F.col("buy_volume")), S.or_zero(F.col("sell_volume"))
-    state = running(state, chunks, ["bucket"], {"cvd_1s": ("sum", buy - sell)})
-
+    kept = ["latest_price", "ticker", "quote", "book"]
+    state = scan(
+        whole, grid_chunks(step), ["bucket"], last={c: F.col(c) for c in kept},
+        totals={"cvd_1s": ("sum", buy - sell)}, inclusive=True,
+    )
     has_book = (F.size("book.bids") > 0) & (F.size("book.asks") > 0)
     has_quote = F.col("quote").isNotNull()
     ask_top, bid_top = F.get("book.asks", F.lit(0))["price"], F.get("book.bids", F.lit(0))["price"]
@@ -105,21 +103,28 @@ def ticks(
         S.or_zero(F.col("kyles_lambda")).alias("kyles_lambda_1s"),
     )
     spans = {("24h_calculated" if n == "24h" else n): w for n, w in (widths or HORIZONS).items()}
-    return finish_ticks(horizons(emitted, spans))
+    # the grid sets the pace of the samples, so blocks need no counting
+    return finish_ticks(horizons(with_depth(emitted), spans, rows_per_block=None))
 
 
-def finish_ticks(samples: DataFrame) -> DataFrame:
-    """Derive the remaining figures of a tick and put them in the declared order."""
-    bid, ask, price = F.col("best_bid_1s"), F.col("best_ask_1s"), F.col("price")
-    mid, ratio = F.col("mid_price_1s"), S.buy_sell_ratio(F.col("buy_vol"), F.col("sell_vol"))
-    moved = F.abs(F.col("price_change_percent_1s"))
-    out = samples.withColumns({
+def with_depth(samples: DataFrame) -> DataFrame:
+    """Mid price, spread and depth; the book itself is not carried any further."""
+    bid, ask, mid = F.col("best_bid_1s"), F.col("best_ask_1s"), F.col("mid_price_1s")
+    return samples.withColumns({
         "mid_price_1s": S.mid_price(bid, ask),
         "bid_ask_spread_1s": S.spread(bid, ask),
     }).withColumns({
         "bid_depth_2pct_1s": side_depth(F.col("book.bids"), mid, bid=True),
         "ask_depth_2pct_1s": side_depth(F.col("book.asks"), mid, bid=False),
-    }).withColumn("depth_2pct_1s", F.col("bid_depth_2pct_1s") + F.col("ask_depth_2pct_1s"))
+    }).drop("book")
+
+
+def finish_ticks(samples: DataFrame) -> DataFrame:
+    """Derive the remaining figures of a tick and put them in the declared order."""
+    price, mid = F.col("price"), F.col("mid_price_1s")
+    ratio = S.buy_sell_ratio(F.col("buy_vol"), F.col("sell_vol"))
+    moved = F.abs(F.col("price_change_percent_1s"))
+    out = samples.withColumn("depth_2pct_1s", F.col("bid_depth_2pct_1s") + F.col("ask_depth_2pct_1s"))
     out = out.withColumns({
         "timestamp": millis(micros(F.col("ts"))),
         "number_of_trades": F.col("trade_count_1s"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -45,3 +45,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="tapeworks-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there from now on.
+
+    For results that several later steps read: each would otherwise compute them anew, and
+    a lost executor would too.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tapeworks.functions.timecols import EASTERN, folder_keys
 from tapeworks.operators.sets import keep_last, union_bars
 from tapeworks.schemas import BAR_SCHEMA
+from tapeworks.session import settled
 
 FOLDERS = ["year", "month", "day", "hour"]
 # Limits of the serving reads.
@@ -182,11 +183,10 @@ def merge_bars(spark: SparkSession, root: str, new: DataFrame) -> None:
     touched = fresh.select(*FOLDERS).distinct()
     old = table.join(touched, FOLDERS, "left_semi").withColumn("_priority", F.lit(0))
     merged = keep_last(union_bars(old, fresh), ["_priority", "last_ingestion_time"])
-    settled = merged.drop("_priority", *FOLDERS).checkpoint()
-    write_bars(settled, root, "overwrite")
+    write_bars(settled(merged.drop("_priority", *FOLDERS)), root, "overwrite")
 
 
 def compact(spark: SparkSession, root: str, low: datetime, high: datetime) -> None:
     """Rewrite the hour folders of [low, high] into one file each."""
     rows = bar_table(spark, root).filter(in_hours(low, high)).drop(*FOLDERS)
-    write_bars(rows.checkpoint(), root, "overwrite")
+    write_bars(settled(rows), root, "overwrite")
