@@ -87,7 +87,7 @@ def w3(spark, folder):
     feed = V.ticks(spark, folder).filter("price > 0").select(
         "symbol", micros(F.col("ts")).alias("_us"), "seq", "price"
     )
-    linked = last_known(feed, measure(feed, ["symbol"]), ["_us", "seq"], {"before": F.col("price")})
+    linked = last_known(feed, measure(feed, ["symbol"]), {"before": F.col("price")})
     move = (F.col("price") - F.col("before")) / F.col("before") * 100
     return V.rounded(linked.select("seq", move.alias("return_percent")))
 

@@ -10,37 +10,33 @@ from tapeworks.operators.chunks import ROWS_PER_CHUNK, Chunks, measure
 from tapeworks.operators.scan import last_known
 
 
+# Added to the sequence numbers of left rows, so that they follow all right rows of an instant.
+_AFTER = 1 << 62
+
+
 def as_of(
     left: DataFrame,
     right: DataFrame,
     values: list[str],
     keys: list[str] | None = None,
-    chunks: Chunks | None = None,
+    rows: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Each left row with ``values`` of the latest right row at or before its ``ts``.
 
-    Both sides carry keys, ts and seq; left rows without a match get nulls. The sides are
-    stacked and scanned once, so no pair of rows is ever formed.
+    Both sides carry keys, ts and seq (from 0 up); left rows without a match get nulls. The
+    sides are stacked and scanned once, so no pair of rows is ever formed.
     """
     keys = keys or ["symbol"]
-    stacked = (
-        left.select(
-            *keys, micros(F.col("ts")).alias("_us"), F.col("seq"), F.lit(1).alias("_side"),
-            F.struct(*[F.col(c) for c in left.columns]).alias("_row"),
-        )
-        .unionByName(
-            right.select(
-                *keys, micros(F.col("ts")).alias("_us"), F.col("seq"), F.lit(0).alias("_side"),
-                F.struct(*values).alias("_value"),
-            ),
-            allowMissingColumns=True,
-        )
-    )
-    chunks = chunks or measure(stacked, keys)
-    found = last_known(
-        stacked, chunks, ["_us", "_side", "seq"], {"_match": F.col("_value")}, inclusive=True
+    at = micros(F.col("ts")).alias("_us")
+    stacked = left.select(
+        *keys, at, (F.col("seq") + _AFTER).alias("_order"), F.struct(*left.columns).alias("_row")
+    ).unionByName(
+        right.select(*keys, at, F.col("seq").alias("_order"), F.struct(*values).alias("_value")),
+        allowMissingColumns=True,
     )
-    return found.filter(F.col("_side") == 1).select(
+    chunks = measure(stacked, keys, seq="_order", rows=rows)
+    found = last_known(stacked, chunks, {"_match": F.col("_value")}, inclusive=True)
+    return found.filter(F.col("_row").isNotNull()).select(
         "_row.*", *[F.col("_match")[v].alias(v) for v in values]
     )
 
@@ -83,4 +79,4 @@ def on_grid(
         {c: F.coalesce(F.col(c), F.lit(0)) for c in zero}
     )
     chunks = chunks or grid_chunks(step)
-    return last_known(filled, chunks, ["bucket"], {c: F.col(c) for c in carry}, inclusive=True)
+    return last_known(filled, chunks, {c: F.col(c) for c in carry}, inclusive=True)

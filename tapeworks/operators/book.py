@@ -29,7 +29,7 @@ def with_snapshot(changes: DataFrame, chunks: Chunks | None = None) -> DataFrame
     feed = changes.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"])
     opened = F.when(F.col("kind") == "snapshot", F.struct("_us", "seq"))
-    marked = last_known(feed, chunks, ["_us", "seq"], {"_snap": opened}, inclusive=True)
+    marked = last_known(feed, chunks, {"_snap": opened}, inclusive=True)
     return marked.withColumn(
         "_snap", F.coalesce("_snap", F.struct(F.lit(0).cast("long").alias("_us"),
                                               F.lit(0).cast("long").alias("seq")))

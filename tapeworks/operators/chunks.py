@@ -17,11 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions.timecols import HOUR, floor_to
+from tapeworks.session import settled
 
 ROWS_PER_CHUNK = 1_000_000
 # Overfull buckets number at most (rows of the feed / rows per chunk). Up to this many
 # are broadcast; beyond it the same table takes part in an ordinary shuffle join.
 BROADCAST_BUCKETS = 50_000
+# An overfull bucket is cut into this many parts at least, so that a dense instant inside it
+# is reached in a few rounds.
+FEWEST_PARTS = 256
 CUT = ["_chunk", "_sub"]
 
 
@@ -38,7 +42,7 @@ class Chunks:
         return [*self.keys, *CUT]
 
     def label(self, df: DataFrame) -> DataFrame:
-        """Add the chunk columns; ``_span`` is the length of the chunk (0: cut by sequence)."""
+        """Add the chunk columns: start in time, start in sequence if cut there, and length."""
         out = df.withColumns({
             "_chunk": floor_to(F.col(self.pos), self.width),
             "_sub": F.lit(0).cast("long"),
@@ -46,15 +50,13 @@ class Chunks:
         })
         for split in self.splits:
             offset = F.col(self.pos) - F.col("_chunk")
-            by_time = F.col("_step").isNotNull()
-            by_seq = F.col("_seq_step").isNotNull()
+            along = F.col(self.seq) - F.col("_seq_low")
             out = out.join(split, self.group, "left").withColumns({
-                "_chunk": F.when(by_time, F.col("_chunk") + offset - F.pmod(offset, F.col("_step")))
-                .otherwise(F.col("_chunk")),
-                "_sub": F.when(
-                    by_seq, F.floor((F.col(self.seq) - F.col("_seq_low")) / F.col("_seq_step"))
-                ).otherwise(F.col("_sub")),
-                "_span": F.when(by_seq, F.lit(0)).otherwise(F.coalesce("_step", "_span")).cast("long"),
+                "_chunk": F.coalesce(
+                    F.col("_chunk") + offset - F.pmod(offset, F.col("_step")), F.col("_chunk")
+                ),
+                "_sub": F.coalesce(F.col(self.seq) - F.pmod(along, F.col("_seq_step")), F.col("_sub")),
+                "_span": F.coalesce("_step", "_span"),
             }).drop("_step", "_seq_low", "_seq_step")
         return out
 
@@ -69,13 +71,14 @@ def measure(
     pos: str = "_us",
     seq: str = "seq",
     rows: int = ROWS_PER_CHUNK,
-    rounds: int = 5,
+    rounds: int = 10,
 ) -> Chunks:
     """Chunks of about ``rows`` rows at most. Runs a count per bucket, two columns wide."""
     chunks = Chunks(tuple(keys), width, pos, seq)
     slim = df.select(*keys, F.col(pos), F.col(seq))
+    span, low, high = F.col("_span"), F.col("_seq_low"), F.col("_seq_high")
     for _ in range(rounds):
-        parts = F.ceil(F.col("n") / rows)
+        parts = F.greatest(F.ceil(F.col("n") / rows), F.lit(FEWEST_PARTS))
         full = (
             chunks.label(slim)
             .groupBy(*chunks.group)
@@ -85,16 +88,12 @@ def measure(
                 F.min(seq).alias("_seq_low"),
                 F.max(seq).alias("_seq_high"),
             )
-            .filter((F.col("n") > rows) & (F.col("_span") > 0))
+            .filter((F.col("n") > rows) & ((span > 1) | (high > low)))
             .select(
                 *chunks.group,
-                F.when(F.col("_span") > 1, F.greatest(F.lit(1), F.ceil(F.col("_span") / parts)))
-                .cast("long").alias("_step"),
+                F.when(span > 1, F.ceil(span / parts)).cast("long").alias("_step"),
                 "_seq_low",
-                F.when(
-                    F.col("_span") == 1,
-                    F.greatest(F.lit(1), F.ceil((F.col("_seq_high") - F.col("_seq_low") + 1) / parts)),
-                ).cast("long").alias("_seq_step"),
+                F.when(span <= 1, F.ceil((high - low + 1) / parts)).cast("long").alias("_seq_step"),
             )
         )
         found = full.limit(BROADCAST_BUCKETS + 1).collect()
@@ -102,5 +101,7 @@ def measure(
             break
         if len(found) <= BROADCAST_BUCKETS:
             full = F.broadcast(df.sparkSession.createDataFrame(found, full.schema))
+        else:
+            full = settled(full)
         chunks = replace(chunks, splits=(*chunks.splits, full))
     return chunks

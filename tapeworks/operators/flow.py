@@ -73,7 +73,7 @@ def previous_trade(trades: DataFrame, chunks: Chunks | None = None) -> DataFrame
     """Price change against the previous trade and signed volume; rows without one drop out."""
     feed = trades.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"])
-    linked = last_known(feed, chunks, ["_us", "seq"], {"previous_price": F.col("price")})
+    linked = last_known(feed, chunks, {"previous_price": F.col("price")})
     return (
         linked.filter(F.col("previous_price") > 0)
         .withColumns({
@@ -101,7 +101,7 @@ def volume_delta(trades: DataFrame, session: str | None = None, chunks: Chunks |
     chunks = chunks or measure(feed, keys)
     size = S.or_zero(F.col("size"))
     signed = F.when(F.col("side") == "buy", size).otherwise(-size)
-    return running(feed, chunks, ["_us", "seq"], {"cvd": ("sum", signed)}).drop("_us")
+    return running(feed, chunks, {"cvd": ("sum", signed)}).drop("_us")
 
 
 def extremes(tickers: DataFrame, chunks: Chunks | None = None) -> DataFrame:
@@ -110,4 +110,4 @@ def extremes(tickers: DataFrame, chunks: Chunks | None = None) -> DataFrame:
     chunks = chunks or measure(feed, ["symbol"])
     low = F.when(F.col("low_24h") > 0, F.col("low_24h"))
     totals = {"running_high": ("max", F.col("high_24h")), "running_low": ("min", low)}
-    return running(feed, chunks, ["_us", "seq"], totals).drop("_us")
+    return running(feed, chunks, totals).drop("_us")

@@ -42,7 +42,7 @@ def gaps(
     """
     feed = trades.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"])
-    linked = last_known(feed, chunks, ["_us", "seq"], {"_before": F.col("_us")})
+    linked = last_known(feed, chunks, {"_before": F.col("_us")})
     first = F.col("_before") + stale_after
     first = first - F.pmod(first, F.lit(every)) + every  # first check after the threshold
     found = F.greatest(F.lit(0), F.ceil((F.col("_us") - first) / every))
@@ -61,7 +61,7 @@ def sessions(trades: DataFrame, chunks: Chunks | None = None, **limits) -> DataF
     chunks = chunks or measure(feed, ["symbol"])
     checked = gaps(trades, chunks=chunks, **limits).withColumn("_us", micros(F.col("ts")))
     opened = F.col("restart").cast("long")
-    return running(checked, chunks, ["_us", "seq"], {"feed_session": ("sum", opened)}).drop("_us")
+    return running(checked, chunks, {"feed_session": ("sum", opened)}).drop("_us")
 
 
 def component_status(log: DataFrame, as_of_us: int) -> DataFrame:

@@ -35,7 +35,7 @@ def price_changes(ticks: DataFrame, chunks: Chunks | None = None) -> DataFrame:
     """Ticks whose price differs from the one before; the first tick always stays."""
     feed = ticks.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"])
-    linked = last_known(feed, chunks, ["_us", "seq"], {"_before": F.struct("price")})
+    linked = last_known(feed, chunks, {"_before": F.struct("price")})
     same = F.col("_before").isNotNull() & F.col("_before.price").eqNullSafe(F.col("price"))
     return linked.filter(~same).drop("_us", "_before")
 
@@ -96,7 +96,7 @@ def backward_steps(messages: DataFrame, chunks: Chunks | None = None) -> DataFra
     """Per symbol, messages in arrival order (seq) whose event time lies before their predecessor's."""
     feed = messages.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"], width=1 << 20, pos="seq", seq="_us")
-    linked = last_known(feed, chunks, ["seq"], {"_before": F.col("_us")})
+    linked = last_known(feed, chunks, {"_before": F.col("_us")})
     return linked.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("messages"),
         F.count(F.when(F.col("_before") > F.col("_us"), 1)).alias("backward"),

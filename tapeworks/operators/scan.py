@@ -26,12 +26,11 @@ JOINED: dict[str, Callable[[Column, Column], Column]] = {
 def scan(
     df: DataFrame,
     chunks: Chunks,
-    order: list[str],
     last: dict[str, Column] | None = None,
     totals: dict[str, tuple[str, Column]] | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
-    """Both kinds of ordered columns in one pass.
+    """Both kinds of ordered columns in one pass, in the order the chunks are cut by.
 
     ``last``: latest non-null value before the row (``inclusive``: or at it). ``totals``: running
     ``sum``/``max``/``min`` up to and including the row, given as (how, value).
@@ -40,6 +39,7 @@ def scan(
     given = {**last, **{n: value for n, (_, value) in totals.items()}}
     feed = chunks.label(df).withColumns({f"_in_{n}": value for n, value in given.items()})
 
+    order = list(dict.fromkeys([chunks.pos, chunks.seq]))
     rank, ends, carry = F.struct(*order), [], []
     before = W.partitionBy(*chunks.keys).orderBy(*CUT).rowsBetween(W.unboundedPreceding, -1)
     for n in last:
@@ -65,17 +65,17 @@ def scan(
 
 
 def running(
-    df: DataFrame, chunks: Chunks, order: list[str], totals: dict[str, tuple[str, Column]]
+    df: DataFrame, chunks: Chunks, totals: dict[str, tuple[str, Column]]
 ) -> DataFrame:
     """Running ``sum``/``max``/``min`` from the first row of a key to the current row."""
-    return scan(df, chunks, order, totals=totals)
+    return scan(df, chunks, totals=totals)
 
 
 def last_known(
-    df: DataFrame, chunks: Chunks, order: list[str], values: dict[str, Column], inclusive: bool = False
+    df: DataFrame, chunks: Chunks, values: dict[str, Column], inclusive: bool = False
 ) -> DataFrame:
     """Latest non-null value before the current row (``inclusive``: or at it), per key."""
-    return scan(df, chunks, order, last=values, inclusive=inclusive)
+    return scan(df, chunks, last=values, inclusive=inclusive)
 
 
 def with_preceding(

@@ -32,7 +32,7 @@ def per_bucket(trades: DataFrame, tickers: DataFrame, changes: DataFrame, step:
     by, point = ["symbol", "bucket"], F.struct(micros(F.col("ts")), "seq")
 
     feed = trades.withColumn("_us", micros(F.col("ts")))
-    linked = last_known(feed, measure(feed, ["symbol"]), ["_us", "seq"], {"_before": F.col("price")})
+    linked = last_known(feed, measure(feed, ["symbol"]), {"_before": F.col("price")})
     signed = F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size"))
     known = F.col("_before") > 0
     flow = bucketed(linked, step).groupBy(*by).agg(
@@ -77,7 +77,7 @@ def ticks(
     buy, sell = S.or_zero(F.col("buy_volume")), S.or_zero(F.col("sell_volume"))
     kept = ["latest_price", "ticker", "quote", "book"]
     state = scan(
-        whole, grid_chunks(step), ["bucket"], last={c: F.col(c) for c in kept},
+        whole, grid_chunks(step), last={c: F.col(c) for c in kept},
         totals={"cvd_1s": ("sum", buy - sell)}, inclusive=True,
     )
     has_book = (F.size("book.bids") > 0) & (F.size("book.asks") > 0)
