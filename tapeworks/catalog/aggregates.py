@@ -69,7 +69,7 @@ def a09(spark, folder):
 @query("a10_hour_buffer", f"""WITH {V.MINUTE_BARS}
 SELECT symbol, window_start - window_start % 3600000 AS hour_start, count(*) AS rows_in_hour,
        count(*) = 60 AS complete, min(window_start) AS first_start, max(window_start) AS last_start,
-       round(sum(close), 6) + 0.0 AS close_sum
+       round(sum(close) + 1.3e-9, 6) + 0.0 AS close_sum
 FROM bars GROUP BY 1, 2""")
 def a10(spark, folder):
     buffers = B.hour_buffer(minute_bars(spark, folder).select("symbol", "window_start", "close"))
@@ -83,16 +83,16 @@ def a10(spark, folder):
 
 @query("a11_vwap", f"""WITH {V.SQL_TRADES}
 SELECT symbol, us - us % {HOUR} AS bucket,
-       round(coalesce(sum(price * size) FILTER (size > 0) / sum(size) FILTER (size > 0), 0) + {V.NUDGE}, 6) + 0.0 AS vwap
+       round(coalesce(sum(price * size) FILTER (size > 0) / sum(size) FILTER (size > 0), 0) + 1.3e-9, 6) + 0.0 AS vwap
 FROM trades GROUP BY 1, 2""")
 def a11(spark, folder):
     made = flow.vwap(flow.bucketed(V.trades(spark, folder), HOUR), ["symbol", "bucket"])
-    return V.nudged(made, "vwap")
+    return V.rounded(made)
 
 
 @query("a11_vwap_lineitem", """
 SELECT l_returnflag, l_linestatus, l_shipmonth,
-       round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) + 0.0 AS vwap
+       round(sum(l_extendedprice * l_quantity) / sum(l_quantity) + 1.3e-9, 4) + 0.0 AS vwap
 FROM (SELECT *, strftime(l_shipdate, '%Y-%m') AS l_shipmonth FROM lineitem) GROUP BY 1, 2, 3""")
 def a11_lineitem(spark, folder):
     items = V.load(spark, folder, "lineitem").withColumn("l_shipmonth", F.date_format("l_shipdate", "yyyy-MM"))
@@ -104,7 +104,7 @@ def a11_lineitem(spark, folder):
 mids AS (SELECT symbol, us - us % {HOUR} AS bucket, avg(value + 100) AS mid FROM feed
          WHERE event_type = 'view' GROUP BY 1, 2),
 means AS (SELECT symbol, us - us % {HOUR} AS bucket, avg(price) AS price FROM trades GROUP BY 1, 2)
-SELECT symbol, bucket, round(coalesce(price - mid, 0), 6) + 0.0 AS micro_deviation
+SELECT symbol, bucket, round(coalesce(price - mid, 0) + 1.3e-9, 6) + 0.0 AS micro_deviation
 FROM means LEFT JOIN mids USING (symbol, bucket)""")
 def a12(spark, folder):
     mids = flow.bucketed(V.quotes(spark, folder), HOUR).groupBy("symbol", "bucket").agg(F.avg("mid").alias("mid"))
@@ -113,9 +113,9 @@ def a12(spark, folder):
 
 
 @query("a13_flow", f"""WITH {V.SQL_TRADES}
-SELECT symbol, us - us % {SECOND} AS bucket, round(sum(size), 6) + 0.0 AS volume,
-       round(coalesce(sum(size) FILTER (side = 'buy'), 0), 6) + 0.0 AS buy_volume,
-       round(coalesce(sum(size) FILTER (side = 'sell'), 0), 6) + 0.0 AS sell_volume, count(*) AS trade_count
+SELECT symbol, us - us % {SECOND} AS bucket, round(sum(size) + 1.3e-9, 6) + 0.0 AS volume,
+       round(coalesce(sum(size) FILTER (side = 'buy'), 0) + 1.3e-9, 6) + 0.0 AS buy_volume,
+       round(coalesce(sum(size) FILTER (side = 'sell'), 0) + 1.3e-9, 6) + 0.0 AS sell_volume, count(*) AS trade_count
 FROM trades GROUP BY 1, 2""")
 def a13(spark, folder):
     made = flow.trade_flow(V.trades(spark, folder), SECOND)
@@ -124,7 +124,7 @@ def a13(spark, folder):
 
 @query("a14_ofi", f"""WITH {V.SQL_CHANGES}
 SELECT symbol, us - us % {MINUTE} AS bucket,
-       round(sum(CASE WHEN side = 'buy' THEN size ELSE -size END), 6) + 0.0 AS ofi
+       round(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) + 1.3e-9, 6) + 0.0 AS ofi
 FROM changes GROUP BY 1, 2""")
 def a14(spark, folder):
     return V.rounded(flow.order_flow(V.changes(spark, folder), MINUTE).select("symbol", "bucket", "ofi"))
@@ -156,7 +156,7 @@ def day_books(spark, folder):
 
 
 @query("j3_depth_filter", f"""WITH {sql_books(DAY)}{SQL_MIDS}
-SELECT symbol, bucket, side, price, round(size, 6) + 0.0 AS size
+SELECT symbol, bucket, side, price, round(size + 1.3e-9, 6) + 0.0 AS size
 FROM books JOIN mids USING (symbol, bucket)
 WHERE CASE WHEN side = 'buy' THEN price >= mid * 0.98 ELSE price <= mid * 1.02 END""")
 def j3(spark, folder):
@@ -169,8 +169,8 @@ near AS (SELECT * FROM books JOIN mids USING (symbol, bucket)
          WHERE CASE WHEN side = 'buy' THEN price >= mid * 0.98 ELSE price <= mid * 1.02 END),
 sums AS (SELECT symbol, bucket, sum(size) AS depth, sum(size) FILTER (side = 'buy') AS bid_depth,
                 sum(size) FILTER (side = 'sell') AS ask_depth FROM near GROUP BY 1, 2)
-SELECT symbol, bucket, round(coalesce(depth, 0), 6) + 0.0 AS depth,
-       round(coalesce(bid_depth, 0), 6) + 0.0 AS bid_depth, round(coalesce(ask_depth, 0), 6) + 0.0 AS ask_depth
+SELECT symbol, bucket, round(coalesce(depth, 0) + 1.3e-9, 6) + 0.0 AS depth,
+       round(coalesce(bid_depth, 0) + 1.3e-9, 6) + 0.0 AS bid_depth, round(coalesce(ask_depth, 0) + 1.3e-9, 6) + 0.0 AS ask_depth
 FROM mids LEFT JOIN sums USING (symbol, bucket)""")
 def a15(spark, folder):
     return V.rounded(book.depth(day_books(spark, folder), mids(spark, folder)).drop("mid"))
@@ -180,10 +180,10 @@ def a15(spark, folder):
 linked AS (SELECT *, price - lag(price) OVER (PARTITION BY symbol ORDER BY us, seq) AS dp FROM trades)
 SELECT symbol, us - us % {HOUR} AS bucket,
        round(CASE WHEN sum(CASE WHEN side = 'buy' THEN size ELSE -size END) <> 0
-             THEN sum(dp) / sum(CASE WHEN side = 'buy' THEN size ELSE -size END) ELSE 0 END + {V.NUDGE}, 6) + 0.0 AS kyles_lambda
+             THEN sum(dp) / sum(CASE WHEN side = 'buy' THEN size ELSE -size END) ELSE 0 END + 1.3e-9, 6) + 0.0 AS kyles_lambda
 FROM linked WHERE dp IS NOT NULL GROUP BY 1, 2""")
 def a16(spark, folder):
-    return V.nudged(flow.price_impact(V.trades(spark, folder), HOUR), "kyles_lambda")
+    return V.rounded(flow.price_impact(V.trades(spark, folder), HOUR))
 
 
 @query("a17_top", f"""WITH {sql_books(DAY)}
@@ -194,7 +194,7 @@ def a17(spark, folder):
 
 
 @query("k1_levels", f"""WITH {sql_books(DAY)}
-SELECT symbol, bucket, side, price, round(size, 6) + 0.0 AS size,
+SELECT symbol, bucket, side, price, round(size + 1.3e-9, 6) + 0.0 AS size,
        row_number() OVER (PARTITION BY symbol, bucket, side
                           ORDER BY CASE WHEN side = 'buy' THEN -price ELSE price END) AS level
 FROM books QUALIFY level <= 5""")
@@ -221,7 +221,7 @@ def _stats_sql() -> str:
     items += [f"{how[kind].format(c=c)} AS {t}_{kind}" for c, t, kinds in groups for kind in kinds.split()]
     names = [i.split(" AS ")[1] for i in items]
     rows = " UNION ALL ".join(
-        f"SELECT symbol, '{n}' AS statistic, round({n}, 5) + 0.0 AS value FROM wide" for n in names
+        f"SELECT symbol, '{n}' AS statistic, round({n} + 1.3e-9, 5) + 0.0 AS value FROM wide" for n in names
     )
     return f"WITH {V.HOUR_BARS},\nwide AS (SELECT symbol, {', '.join(items)} FROM bars GROUP BY symbol)\n{rows}"
 
@@ -233,7 +233,7 @@ def a18(spark, folder):
 
 @query("a19_regime_share", f"""WITH {V.MINUTE_BARS}
 SELECT symbol, volatility_regime, count(*) AS bars,
-       round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY symbol), 6) + 0.0 AS percent
+       round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY symbol) + 1.3e-9, 6) + 0.0 AS percent
 FROM bars GROUP BY 1, 2""")
 def a19(spark, folder):
     return V.rounded(serving.regime_share(minute_bars(spark, folder)))
@@ -243,13 +243,13 @@ def a19(spark, folder):
 SELECT symbol, count(*) AS window_rows, min(window_start) AS window_start,
   arg_max(window_end, window_start) AS window_end, arg_min(open, window_start) AS open, max(high) AS high,
   min(low) AS low, arg_max(close, window_start) AS close,
-  round(sum(total_volume_1m), 6) + 0.0 AS total_volume_1m_sum,
-  round(sum(total_buy_volume_1m), 6) + 0.0 AS total_buy_volume_1m_sum,
-  round(sum(total_sell_volume_1m), 6) + 0.0 AS total_sell_volume_1m_sum,
-  sum(trade_count_1m)::BIGINT AS trade_count_1m_sum, round(avg(volatility_1m), 6) + 0.0 AS volatility_1m_mean,
-  round(avg(avg_bid_ask_spread_1m), 6) + 0.0 AS avg_bid_ask_spread_1m_mean,
-  round(avg(cvd_1m), 6) + 0.0 AS cvd_1m_mean, round(avg(total_ofi_1m), 6) + 0.0 AS total_ofi_1m_mean,
-  round((arg_max(close, window_start) / arg_min(open, window_start) - 1) * 100, 6) + 0.0 AS return_pct
+  round(sum(total_volume_1m) + 1.3e-9, 6) + 0.0 AS total_volume_1m_sum,
+  round(sum(total_buy_volume_1m) + 1.3e-9, 6) + 0.0 AS total_buy_volume_1m_sum,
+  round(sum(total_sell_volume_1m) + 1.3e-9, 6) + 0.0 AS total_sell_volume_1m_sum,
+  sum(trade_count_1m)::BIGINT AS trade_count_1m_sum, round(avg(volatility_1m) + 1.3e-9, 6) + 0.0 AS volatility_1m_mean,
+  round(avg(avg_bid_ask_spread_1m) + 1.3e-9, 6) + 0.0 AS avg_bid_ask_spread_1m_mean,
+  round(avg(cvd_1m) + 1.3e-9, 6) + 0.0 AS cvd_1m_mean, round(avg(total_ofi_1m) + 1.3e-9, 6) + 0.0 AS total_ofi_1m_mean,
+  round((arg_max(close, window_start) / arg_min(open, window_start) - 1) * 100 + 1.3e-9, 6) + 0.0 AS return_pct
 FROM bars GROUP BY symbol""")
 def a20(spark, folder):
     return V.rounded(serving.window_summary(minute_bars(spark, folder)))
@@ -266,11 +266,11 @@ rolled AS (
     sum(trade_count_1m) AS t, avg(volatility_1m) AS m1, avg(avg_bid_ask_spread_1m) AS m2,
     avg(order_imbalance_ratio_1m) AS m3, avg(cvd_1m) AS m4, avg(total_ofi_1m) AS m5
   FROM bars GROUP BY 1, 2)
-SELECT symbol, hour_start, open, high, low, close, round(coalesce(v, 0), 6) + 0.0 AS total_volume_1m,
-  round(coalesce(b, 0), 6) + 0.0 AS total_buy_volume_1m, round(coalesce(s, 0), 6) + 0.0 AS total_sell_volume_1m,
-  coalesce(t, 0)::BIGINT AS trade_count_1m, round(m1, 6) + 0.0 AS volatility_1m,
-  round(m2, 6) + 0.0 AS avg_bid_ask_spread_1m, round(m3, 6) + 0.0 AS order_imbalance_ratio_1m,
-  round(m4, 6) + 0.0 AS cvd_1m, round(m5, 6) + 0.0 AS total_ofi_1m
+SELECT symbol, hour_start, open, high, low, close, round(coalesce(v, 0) + 1.3e-9, 6) + 0.0 AS total_volume_1m,
+  round(coalesce(b, 0) + 1.3e-9, 6) + 0.0 AS total_buy_volume_1m, round(coalesce(s, 0) + 1.3e-9, 6) + 0.0 AS total_sell_volume_1m,
+  coalesce(t, 0)::BIGINT AS trade_count_1m, round(m1 + 1.3e-9, 6) + 0.0 AS volatility_1m,
+  round(m2 + 1.3e-9, 6) + 0.0 AS avg_bid_ask_spread_1m, round(m3 + 1.3e-9, 6) + 0.0 AS order_imbalance_ratio_1m,
+  round(m4 + 1.3e-9, 6) + 0.0 AS cvd_1m, round(m5 + 1.3e-9, 6) + 0.0 AS total_ofi_1m
 FROM hours LEFT JOIN rolled USING (symbol, hour_start)""")
 def a21(spark, folder):
     return V.rounded(serving.hourly(minute_bars(spark, folder), last=None))
@@ -298,7 +298,7 @@ state AS (
          coalesce(messages, 0) AS messages, coalesce(errors, 0) AS errors
   FROM known LEFT JOIN seen USING (source))
 SELECT component, CASE WHEN age IS NULL THEN 'not started' WHEN age < stale_after THEN 'running' ELSE 'stale' END
-         AS status, round(age, 6) + 0.0 AS age_seconds, messages, errors,
+         AS status, round(age + 1.3e-9, 6) + 0.0 AS age_seconds, messages, errors,
        (SELECT sum(errors) FROM seen)::BIGINT AS total_errors,
        (SELECT sum(errors) FROM seen) > 0 OR (SELECT count(*) FROM state WHERE age >= stale_after) > 0 AS degraded
 FROM state""")

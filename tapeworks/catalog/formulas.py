@@ -15,7 +15,7 @@ def per_tick(spark, folder, digits=6, **columns):
 
 
 def tick_sql(expression: str, name: str, digits: int = 6) -> str:
-    return f"WITH {TICKS}\nSELECT seq, round({expression}, {digits}) + 0.0 AS {name} FROM ticks"
+    return f"WITH {TICKS}\nSELECT seq, round({expression} + 1.3e-9, {digits}) + 0.0 AS {name} FROM ticks"
 
 
 BID, ASK = "best_bid_1s", "best_ask_1s"
@@ -57,8 +57,8 @@ def p06(spark, folder):
 
 
 @query("p07_change", f"""WITH {TICKS}
-SELECT seq, round(price - low_24h, 6) + 0.0 AS change,
-       round(CASE WHEN price > 0 THEN (low_24h - price) / price * 100 ELSE 0 END, 6) + 0.0 AS change_percent
+SELECT seq, round(price - low_24h + 1.3e-9, 6) + 0.0 AS change,
+       round(CASE WHEN price > 0 THEN (low_24h - price) / price * 100 ELSE 0 END + 1.3e-9, 6) + 0.0 AS change_percent
 FROM ticks""")
 def p07(spark, folder):
     price, low = F.col("price"), F.col("low_24h")
@@ -75,7 +75,7 @@ def p08(spark, folder):
 @query("p09_imbalance", f"""WITH {TICKS},
 hours AS (SELECT symbol, us - us % {T.HOUR} AS bucket, sum(buy_volume_1s) AS b, sum(sell_volume_1s) AS s
           FROM ticks GROUP BY ALL)
-SELECT symbol, bucket, round(CASE WHEN b + s > 0 THEN (b - s) / (b + s) ELSE 0 END, 6) + 0.0 AS imbalance
+SELECT symbol, bucket, round(CASE WHEN b + s > 0 THEN (b - s) / (b + s) ELSE 0 END + 1.3e-9, 6) + 0.0 AS imbalance
 FROM hours""")
 def p09(spark, folder):
     hours = V.ticks(spark, folder).groupBy(
@@ -93,7 +93,7 @@ def p10(spark, folder):
 
 
 @query("p11_price_choice", f"""WITH {TICKS}
-SELECT seq, round(CASE WHEN price > 0 THEN price ELSE high_24h END, 6) + 0.0 AS price
+SELECT seq, round(CASE WHEN price > 0 THEN price ELSE high_24h END + 1.3e-9, 6) + 0.0 AS price
 FROM ticks WHERE high_24h > 110""")
 def p11(spark, folder):
     ticker = F.col("high_24h")
@@ -110,7 +110,7 @@ def p12(spark, folder):
 
 
 @query("p13_default_positive", f"""WITH {TICKS}
-SELECT seq, round(price, 6) + 0.0 AS price, round(coalesce(CASE WHEN side = 'buy' THEN size END, 0), 6) + 0.0 AS volume
+SELECT seq, round(price + 1.3e-9, 6) + 0.0 AS price, round(coalesce(CASE WHEN side = 'buy' THEN size END, 0) + 1.3e-9, 6) + 0.0 AS volume
 FROM ticks WHERE price > 0""")
 def p13(spark, folder):
     volume = S.or_zero(F.when(F.col("side") == "buy", F.col("size")))

@@ -14,8 +14,8 @@ from tapeworks.operators.scan import last_known
 @query("j1_asof", f"""WITH {V.SQL_TRADES},
 quotes AS (SELECT symbol, us, value + 100 AS mid, value + 100 - k::DOUBLE / 100 AS bid,
                   value + 100 + k::DOUBLE / 100 AS ask FROM feed WHERE event_type = 'view')
-SELECT t.symbol, t.us, t.seq, round(t.price, 6) + 0.0 AS price, round(q.mid, 6) + 0.0 AS mid,
-       round(q.bid, 6) + 0.0 AS bid, round(q.ask, 6) + 0.0 AS ask
+SELECT t.symbol, t.us, t.seq, round(t.price + 1.3e-9, 6) + 0.0 AS price, round(q.mid + 1.3e-9, 6) + 0.0 AS mid,
+       round(q.bid + 1.3e-9, 6) + 0.0 AS bid, round(q.ask + 1.3e-9, 6) + 0.0 AS ask
 FROM trades t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t.us >= q.us""")
 def j1(spark, folder):
     trades = V.trades(spark, folder).select("symbol", "ts", "seq", "price")
@@ -27,8 +27,8 @@ spans AS (SELECT symbol, min(us - us % {MINUTE}) AS lo, max(us - us % {MINUTE})
 grid AS (SELECT symbol, unnest(generate_series(lo, hi, {MINUTE})) AS bucket FROM spans),
 made AS (SELECT symbol, us - us % {MINUTE} AS bucket, sum(size) AS volume, count(*) AS trade_count,
                 arg_max(price, (us, seq)) AS price FROM trades GROUP BY 1, 2)
-SELECT symbol, bucket, round(coalesce(volume, 0), 6) + 0.0 AS volume, coalesce(trade_count, 0) AS trade_count,
-       round(last_value(price IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY bucket), 6) + 0.0 AS price
+SELECT symbol, bucket, round(coalesce(volume, 0) + 1.3e-9, 6) + 0.0 AS volume, coalesce(trade_count, 0) AS trade_count,
+       round(last_value(price IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY bucket) + 1.3e-9, 6) + 0.0 AS price
 FROM grid LEFT JOIN made USING (symbol, bucket)""")
 def j2(spark, folder):
     trades = V.trades(spark, folder)
@@ -54,7 +54,7 @@ def _horizon_sql() -> str:
             "buy_volume": f"CASE WHEN {first} > 0 THEN sum(buy_volume_1s) OVER w_{name} END",
             "sell_volume": f"CASE WHEN {first} > 0 THEN sum(sell_volume_1s) OVER w_{name} END",
         }
-        items += [f"round(coalesce({v}, 0), 6) + 0.0 AS {m}_{name}" for m, v in figures.items()]
+        items += [f"round(coalesce({v}, 0) + 1.3e-9, 6) + 0.0 AS {m}_{name}" for m, v in figures.items()]
     return f"WITH {V.SQL_TICKS}\nSELECT seq, {', '.join(items)}\nFROM ticks WINDOW {', '.join(frames)}"
 
 
@@ -73,7 +73,7 @@ def w1(spark, folder):
 
 @query("w2_ma5", f"""WITH {V.MINUTE_BARS}
 SELECT symbol, window_start, round(avg(trade_count_1m) OVER (
-         PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) + 0.0
+         PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) + 1.3e-9, 6) + 0.0
        AS trade_count_1m_ma5 FROM bars""")
 def w2(spark, folder):
     bars = minute_bars(spark, folder).select("symbol", "window_start", "trade_count_1m")
@@ -81,7 +81,7 @@ def w2(spark, folder):
 
 
 @query("w3_return", f"""WITH {V.SQL_TICKS}
-SELECT seq, round((price - lag(price) OVER w) / lag(price) OVER w * 100, 6) + 0.0 AS return_percent
+SELECT seq, round((price - lag(price) OVER w) / lag(price) OVER w * 100 + 1.3e-9, 6) + 0.0 AS return_percent
 FROM ticks WHERE price > 0 WINDOW w AS (PARTITION BY symbol ORDER BY us, seq)""")
 def w3(spark, folder):
     feed = V.ticks(spark, folder).filter("price > 0").select(
@@ -94,7 +94,7 @@ def w3(spark, folder):
 
 @query("w4_prev_trade", f"""WITH {V.SQL_TRADES}, linked AS (
   SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY us, seq) AS previous FROM trades)
-SELECT seq, round(price - previous, 6) + 0.0 AS price_change,
+SELECT seq, round(price - previous + 1.3e-9, 6) + 0.0 AS price_change,
        CASE WHEN side = 'buy' THEN size ELSE -size END + 0.0 AS signed_volume
 FROM linked WHERE previous > 0""")
 def w4(spark, folder):
@@ -103,14 +103,14 @@ def w4(spark, folder):
 
 @query("w5_cvd", f"""WITH {V.SQL_TRADES}
 SELECT seq, round(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) OVER (
-         PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS cvd FROM trades""")
+         PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING) + 1.3e-9, 6) + 0.0 AS cvd FROM trades""")
 def w5(spark, folder):
     return V.rounded(flow.volume_delta(V.trades(spark, folder)).select("seq", "cvd"))
 
 
 @query("w6_extremes", f"""WITH {V.SQL_TICKS}
-SELECT seq, round(max(high_24h) OVER w, 6) + 0.0 AS running_high,
-       round(min(low_24h) FILTER (low_24h > 0) OVER w, 6) + 0.0 AS running_low
+SELECT seq, round(max(high_24h) OVER w + 1.3e-9, 6) + 0.0 AS running_high,
+       round(min(low_24h) FILTER (low_24h > 0) OVER w + 1.3e-9, 6) + 0.0 AS running_low
 FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING)""")
 def w6(spark, folder):
     return V.rounded(flow.extremes(V.ticks(spark, folder)).select("seq", "running_high", "running_low"))
@@ -138,7 +138,7 @@ def w7(spark, folder):
   SELECT *, sum(restart::BIGINT) OVER (PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING)::BIGINT
     AS feed_session FROM gaps)
 SELECT seq, feed_session, round(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) OVER (
-         PARTITION BY symbol, feed_session ORDER BY us, seq ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS cvd
+         PARTITION BY symbol, feed_session ORDER BY us, seq ROWS UNBOUNDED PRECEDING) + 1.3e-9, 6) + 0.0 AS cvd
 FROM numbered""")
 def w8(spark, folder):
     numbered = health.sessions(V.trades(spark, folder))
@@ -148,7 +148,7 @@ def w8(spark, folder):
 @query("w9_divergence", f"""WITH {V.MINUTE_BARS}, drifts AS (
   SELECT symbol, window_start, close - lag(close, 5) OVER w AS momentum, cvd_1m - lag(cvd_1m, 5) OVER w AS drift
   FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY window_start))
-SELECT symbol, window_start, round(momentum, 6) + 0.0 AS momentum, round(drift, 6) + 0.0 AS cvd_drift,
+SELECT symbol, window_start, round(momentum + 1.3e-9, 6) + 0.0 AS momentum, round(drift + 1.3e-9, 6) + 0.0 AS cvd_drift,
        CASE WHEN momentum > 0 AND drift < 0 THEN 'bearish' WHEN momentum < 0 AND drift > 0 THEN 'bullish'
             ELSE 'none' END AS divergence FROM drifts""")
 def w9(spark, folder):
@@ -211,7 +211,7 @@ def q_change(spark, folder):
 
 
 @query("q_volume", f"""WITH {V.HOUR_BARS}
-SELECT symbol, window_start, num_ticks, round(num_ticks::DOUBLE / 5, 6) + 0.0 AS completeness,
+SELECT symbol, window_start, num_ticks, round(num_ticks::DOUBLE / 5 + 1.3e-9, 6) + 0.0 AS completeness,
        num_ticks >= 4.5 AS healthy FROM bars""")
 def q_volume(spark, folder):
     checked = quality.completeness(hour_bars(spark, folder).select("symbol", "window_start", "num_ticks"), 5)
@@ -253,8 +253,8 @@ def q_negative(spark, folder):
 @query("q_conservation", f"""WITH {V.HOUR_BARS},
 fed AS (SELECT symbol, sum(volume_1s) AS volume_in, count(*) AS ticks_in FROM ticks GROUP BY 1),
 made AS (SELECT symbol, sum(total_volume_1m) AS volume_out, sum(num_ticks)::BIGINT AS ticks_out FROM bars GROUP BY 1)
-SELECT symbol, round(volume_in, 6) + 0.0 AS volume_in, ticks_in, round(volume_out, 6) + 0.0 AS volume_out, ticks_out,
-       round(volume_in - volume_out, 6) + 0.0 AS volume_gap, ticks_in - ticks_out AS ticks_gap
+SELECT symbol, round(volume_in + 1.3e-9, 6) + 0.0 AS volume_in, ticks_in, round(volume_out + 1.3e-9, 6) + 0.0 AS volume_out, ticks_out,
+       round(volume_in - volume_out + 1.3e-9, 6) + 0.0 AS volume_gap, ticks_in - ticks_out AS ticks_gap
 FROM fed JOIN made USING (symbol)""")
 def q_conservation(spark, folder):
     return V.rounded(quality.conservation(V.ticks(spark, folder), hour_bars(spark, folder)))

@@ -44,10 +44,10 @@ def p19(spark, folder):
 
 
 @query("p20_rename", f"""WITH {V.HOUR_BARS}
-SELECT symbol, window_start AS "Time", round(open, 6) + 0.0 AS "Open", round(high, 6) + 0.0 AS "High",
-  round(low, 6) + 0.0 AS "Low", round(close, 6) + 0.0 AS "Close", round(total_volume_1m, 6) + 0.0 AS "Volume",
-  round(volatility_1m, 6) + 0.0 AS "Volatility", round(order_imbalance_ratio_1m, 6) + 0.0 AS "Order Imbalance",
-  round(price_change_percent_1m, 6) + 0.0 AS "Change %" FROM bars""")
+SELECT symbol, window_start AS "Time", round(open + 1.3e-9, 6) + 0.0 AS "Open", round(high + 1.3e-9, 6) + 0.0 AS "High",
+  round(low + 1.3e-9, 6) + 0.0 AS "Low", round(close + 1.3e-9, 6) + 0.0 AS "Close", round(total_volume_1m + 1.3e-9, 6) + 0.0 AS "Volume",
+  round(volatility_1m + 1.3e-9, 6) + 0.0 AS "Volatility", round(order_imbalance_ratio_1m + 1.3e-9, 6) + 0.0 AS "Order Imbalance",
+  round(price_change_percent_1m + 1.3e-9, 6) + 0.0 AS "Change %" FROM bars""")
 def p20(spark, folder):
     return V.rounded(serving.titled(hour_bars(spark, folder)))
 
@@ -72,7 +72,7 @@ def p21(spark, folder):
 
 
 @query("p22_freshness", f"""WITH {V.MINUTE_BARS}
-SELECT symbol, max(window_start) AS last_update, round(({AS_OF_MS} - max(window_start)) / 1000.0::DOUBLE, 6) + 0.0
+SELECT symbol, max(window_start) AS last_update, round(({AS_OF_MS} - max(window_start)) / 1000.0::DOUBLE + 1.3e-9, 6) + 0.0
        AS data_age_seconds, count(*) AS records FROM bars GROUP BY 1""")
 def p22(spark, folder):
     return V.rounded(serving.freshness(minute_bars(spark, folder), AS_OF_MS))
@@ -84,6 +84,29 @@ def p23(spark, folder):
     return context.to_document(made.withColumn("key", F.col("window_start")), ["key"])
 
 
+@query("p23_json_fields", f"""WITH {V.HOUR_BARS}
+SELECT symbol, window_start,
+       strftime(timezone('America/New_York', make_timestamptz(window_end * 1000)), '%Y-%m-%dT%H:%M:%S.%f') || '-05:00'
+         AS window_end, round(close + 1.3e-9, 6) + 0.0 AS close,
+       CASE WHEN volatility_regime <> 'high' THEN round(volatility_1m + 1.3e-9, 6) + 0.0 END AS volatility, 5 AS fields
+FROM bars""")
+def p23_fields(spark, folder):
+    """The same documents parsed again; high volatilities were made NaN and must come back null."""
+    nan = F.when(F.col("volatility_regime") == "high", F.lit(float("nan"))).otherwise(F.col("volatility_1m"))
+    made = hour_bars(spark, folder).select(
+        "symbol", "window_start", "window_end", "close", nan.alias("volatility"), "num_ticks", "volatility_regime")
+    text = context.to_document(made.withColumn("start", F.col("window_start")).drop("window_start"), ["symbol", "start"])
+
+    def number(name):
+        return F.get_json_object("document", f"$.{name}").cast("double").alias(name)
+
+    return V.rounded(text.select(
+        "symbol", F.col("start").alias("window_start"), F.get_json_object("document", "$.window_end").alias("window_end"),
+        number("close"), number("volatility"),
+        F.size(F.json_object_keys("document")).cast("long").alias("fields"),
+    ))
+
+
 @query("k2_latest", V.sql(V.MINUTE_BARS, DOUBLES, PLAIN, "bars",
                           "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1"))
 def k2(spark, folder):
@@ -141,7 +164,7 @@ def u2(spark, folder):
 @query("u3_upsert", f"""WITH {SQL_EDITIONS}, stacked AS (
   SELECT symbol, window_start, close, total_volume_1m, 0 AS priority FROM bars
   UNION ALL SELECT symbol, window_start, close, total_volume_1m, 1 FROM fresh)
-SELECT symbol, window_start, round(close, 6) + 0.0 AS close, round(total_volume_1m, 6) + 0.0 AS total_volume_1m
+SELECT symbol, window_start, round(close + 1.3e-9, 6) + 0.0 AS close, round(total_volume_1m + 1.3e-9, 6) + 0.0 AS total_volume_1m
 FROM stacked WHERE window_start >= {AS_OF_MS - 20 * 86_400_000}
 QUALIFY row_number() OVER (PARTITION BY symbol, window_start ORDER BY priority DESC) = 1""")
 def u3(spark, folder):
@@ -166,6 +189,31 @@ def c1(spark, folder):
     return context.market_context(minute_bars(spark, folder), "1 Day", AS_OF_US)
 
 
+@query("c1_context_fields", f"""WITH {V.MINUTE_BARS},
+span AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) <= 1440),
+hours AS (SELECT symbol, (max(window_start) - max(window_start) % 3600000
+                          - min(window_start) + min(window_start) % 3600000) // 3600000 + 1 AS n FROM span GROUP BY 1)
+SELECT symbol, count(*) AS rows_window, least(count(*), 180) AS rows_sent,
+  round(arg_max(close, window_start) + 1.3e-9, 6) + 0.0 AS close,
+  round((arg_max(close, window_start) / arg_min(open, window_start) - 1) * 100 + 1.3e-9, 6) + 0.0 AS return_pct,
+  round(sum(total_volume_1m) + 1.3e-9, 6) + 0.0 AS volume, least(any_value(n), 30) AS hours,
+  strftime(timezone('America/New_York', make_timestamptz(min(window_start) * 1000)), '%Y-%m-%dT%H:%M:%S.%f') || '-05:00'
+    AS window_start
+FROM span JOIN hours USING (symbol) GROUP BY symbol""")
+def c1_fields(spark, folder):
+    document = context.market_context(minute_bars(spark, folder), "1 Day", AS_OF_US)
+
+    def at(path, kind, name):
+        return F.get_json_object("context", f"$.{path}").cast(kind).alias(name)
+
+    return V.rounded(document.select(
+        "symbol", at("meta.rows_window", "long", "rows_window"), at("meta.rows_sent", "long", "rows_sent"),
+        at("latest.close", "double", "close"), at("summary.return_pct", "double", "return_pct"),
+        at("summary.total_volume_1m_sum", "double", "volume"), at("summary.window_start", "string", "window_start"),
+        F.json_array_length(F.get_json_object("context", "$.hourly")).cast("long").alias("hours"),
+    ))
+
+
 @query("q_schema")
 def q_schema(spark, folder):
     from tapeworks.operators.quality import schema_differences

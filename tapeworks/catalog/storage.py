@@ -65,7 +65,7 @@ def written(spark, folder, made=None) -> str:
 
 
 @query("s05_sink_roundtrip", f"""WITH {V.HOUR_BARS}
-SELECT {', '.join(PLAIN.split())}, {', '.join(f'round({c}, 6) + 0.0 AS {c}' for c in DOUBLES.split())},
+SELECT {', '.join(PLAIN.split())}, {', '.join(f'round({c} + 1.3e-9, 6) + 0.0 AS {c}' for c in DOUBLES.split())},
        window_start_est[1:4] AS year, window_start_est[6:7] AS month, window_start_est[9:10] AS day,
        window_start_est[12:13] AS hour FROM bars""")
 def s05(spark, folder):
@@ -77,8 +77,8 @@ grouped AS (SELECT symbol, us - us % {MINUTE} AS bar, arg_min(price, (us, seq))
                    min(price) AS low, arg_max(price, (us, seq)) AS close, sum(volume_1s) AS total_volume_1m,
                    count(*) AS trade_count_1m FROM ticks GROUP BY 1, 2),
 bars AS (SELECT *, bar // 1000 AS window_start FROM grouped)
-SELECT symbol, window_start, round(open, 6) + 0.0 AS open, round(high, 6) + 0.0 AS high, round(low, 6) + 0.0 AS low,
-       round(close, 6) + 0.0 AS close, round(total_volume_1m, 6) + 0.0 AS total_volume_1m, trade_count_1m FROM bars""")
+SELECT symbol, window_start, round(open + 1.3e-9, 6) + 0.0 AS open, round(high + 1.3e-9, 6) + 0.0 AS high, round(low + 1.3e-9, 6) + 0.0 AS low,
+       round(close + 1.3e-9, 6) + 0.0 AS close, round(total_volume_1m + 1.3e-9, 6) + 0.0 AS total_volume_1m, trade_count_1m FROM bars""")
 def s06(spark, folder):
     root = work_folder(spark, "batch")
     tables.write_span(batch_layer.ticker_bars(raw(spark, folder)), root)
@@ -163,7 +163,7 @@ def s12(spark, folder):
 
 
 @query("s02_topic_sink", f"""WITH {V.SQL_TRADES}
-SELECT symbol AS key, us, seq, round(price, 6) + 0.0 AS price FROM trades""")
+SELECT symbol AS key, us, seq, round(price + 1.3e-9, 6) + 0.0 AS price FROM trades""")
 def s02(spark, folder):
     """Rows to (key, value) records, then the values parsed again."""
     sent = topics.as_records(V.trades(spark, folder))
@@ -184,7 +184,7 @@ def s01(spark, folder):
 
 
 @query("s13_merge_table", f"""WITH {V.HOUR_BARS}
-SELECT symbol, window_start, round(close, 6) + 0.0 AS close FROM bars""")
+SELECT symbol, window_start, round(close + 1.3e-9, 6) + 0.0 AS close FROM bars""")
 def s13(spark, folder):
     """Upsert twice into the table on disk: late half first, then everything, no row doubled."""
     root, made = work_folder(spark, "merge"), hour_bars(spark, folder)

@@ -261,23 +261,19 @@ bars AS (
 HOUR_BARS, MINUTE_BARS = sql_bars(HOUR), sql_bars(MINUTE)
 
 
+# Means of a few short decimals often end exactly half-way, where the two engines round
+# differently. Both sides of a comparison add this much before rounding.
+NUDGE = 1.3e-9
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison (adding 0 turns -0 into 0)."""
     return df.select([
-        (F.round(F.col(f"`{n}`"), digits) + F.lit(0.0)).alias(n) if kind == "double" else F.col(f"`{n}`")
+        (F.round(F.col(f"`{n}`") + NUDGE, digits) + F.lit(0.0)).alias(n) if kind == "double" else F.col(f"`{n}`")
         for n, kind in df.dtypes
     ])
 
 
-# Quotients by sums of whole sizes often end exactly half-way, where the engines round
-# differently; both sides of such a comparison add this much first.
-NUDGE = 1.3e-9
-
-
-def nudged(df: DataFrame, name: str) -> DataFrame:
-    return rounded(df.withColumn(name, F.col(name) + NUDGE))
-
-
 def with_us(df: DataFrame, name: str = "us") -> DataFrame:
     """Event time as epoch microseconds, which both engines write alike."""
     return df.withColumn(name, micros(F.col("ts"))).drop("ts")
@@ -286,7 +282,7 @@ def with_us(df: DataFrame, name: str = "us") -> DataFrame:
 def sql(ctes: str, doubles: str = "", plain: str = "", source: str = "", tail: str = "", digits: int = 6) -> str:
     """WITH ctes SELECT plain columns and rounded doubles FROM source."""
     columns = [c for c in plain.split() if c]
-    columns += [f"round({c}, {digits}) + 0.0 AS {c}" for c in doubles.split()]
+    columns += [f"round({c} + 1.3e-9, {digits}) + 0.0 AS {c}" for c in doubles.split()]
     return f"WITH {ctes.strip()}\nSELECT {', '.join(columns)}\nFROM {source} {tail}"
 
 

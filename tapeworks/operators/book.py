@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import scalars as S
 from tapeworks.functions.timecols import HOUR, SECOND, floor_to, micros
-from tapeworks.operators.chunks import CUT, Chunks, measure
+from tapeworks.operators.chunks import CUT, Chunks, bounded, measure
 from tapeworks.operators.scan import last_known
 from tapeworks.session import settled
 
@@ -52,7 +52,7 @@ def books(changes: DataFrame, every: int, chunks: Chunks | None = None) -> DataF
     """
     levels = settled(level_changes(changes, every, chunks))
     era = levels.groupBy("symbol", "bucket").agg(F.max("_snap").alias("_era"))
-    span = era.groupBy("symbol").agg(F.max("bucket").alias("_end"))
+    span, _ = bounded(era.groupBy("symbol").agg(F.max("bucket").alias("_end")))
     # one row per symbol and bucket; the running maximum fills eras of buckets without changes
     following = W.partitionBy("symbol").orderBy("bucket")
     eras = (
@@ -145,7 +145,7 @@ def _opening(ends: DataFrame) -> DataFrame:
             "_era": F.max("_last_snap").over(numbered.rowsBetween(W.unboundedPreceding, -1)),
         })
     )
-    end = eras.groupBy("symbol").agg(F.max("_n").alias("_end"))
+    end, _ = bounded(eras.groupBy("symbol").agg(F.max("_n").alias("_end")))
     sizes = ends.join(eras.select("symbol", *CUT, "_n"), ["symbol", *CUT]).select(
         "symbol", "side", "price", "_n", "size", "_snap"
     )

@@ -20,15 +20,28 @@ from tapeworks.functions.timecols import HOUR, floor_to
 from tapeworks.session import settled
 
 ROWS_PER_CHUNK = 1_000_000
-# Overfull buckets number at most (rows of the feed / rows per chunk). Up to this many
-# are broadcast; beyond it the same table takes part in an ordinary shuffle join.
-BROADCAST_BUCKETS = 50_000
+# Most rows a side table may have to be broadcast. Overfull buckets number at most
+# (rows of the feed / rows per chunk).
+BROADCAST_ROWS = 50_000
 # An overfull bucket is cut into this many parts at least, so that a dense instant inside it
 # is reached in a few rounds.
-FEWEST_PARTS = 256
+FEWEST_PARTS = 32
 CUT = ["_chunk", "_sub"]
 
 
+def bounded(table: DataFrame) -> tuple[DataFrame, bool]:
+    """``table`` ready to be joined to a feed, and whether it has any rows.
+
+    It is counted by fetching at most one row more than may be broadcast. Up to that many are
+    broadcast; a longer one is written out and takes part in an ordinary join, where adaptive
+    execution splits a skewed feed.
+    """
+    found = table.limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        return settled(table), True
+    return F.broadcast(table.sparkSession.createDataFrame(found, table.schema)), bool(found)
+
+
 @dataclass(frozen=True)
 class Chunks:
     keys: tuple[str, ...]
@@ -41,17 +54,21 @@ class Chunks:
     def group(self) -> list[str]:
         return [*self.keys, *CUT]
 
-    def label(self, df: DataFrame) -> DataFrame:
-        """Add the chunk columns: start in time, start in sequence if cut there, and length."""
+    def label(self, df: DataFrame, newest: str = "left") -> DataFrame:
+        """Add the chunk columns: start in time, start in sequence if cut there, and length.
+
+        ``newest="inner"`` keeps only the rows of buckets cut by the last split.
+        """
         out = df.withColumns({
             "_chunk": floor_to(F.col(self.pos), self.width),
             "_sub": F.lit(0).cast("long"),
             "_span": F.lit(self.width).cast("long"),
         })
-        for split in self.splits:
+        for i, split in enumerate(self.splits, 1):
+            how = newest if i == len(self.splits) else "left"
             offset = F.col(self.pos) - F.col("_chunk")
             along = F.col(self.seq) - F.col("_seq_low")
-            out = out.join(split, self.group, "left").withColumns({
+            out = out.join(split, self.group, how).withColumns({
                 "_chunk": F.coalesce(
                     F.col("_chunk") + offset - F.pmod(offset, F.col("_step")), F.col("_chunk")
                 ),
@@ -71,7 +88,7 @@ def measure(
     pos: str = "_us",
     seq: str = "seq",
     rows: int = ROWS_PER_CHUNK,
-    rounds: int = 10,
+    rounds: int = 24,
 ) -> Chunks:
     """Chunks of about ``rows`` rows at most. Runs a count per bucket, two columns wide."""
     chunks = Chunks(tuple(keys), width, pos, seq)
@@ -80,7 +97,7 @@ def measure(
     for _ in range(rounds):
         parts = F.greatest(F.ceil(F.col("n") / rows), F.lit(FEWEST_PARTS))
         full = (
-            chunks.label(slim)
+            chunks.label(slim, newest="inner")
             .groupBy(*chunks.group)
             .agg(
                 F.count(F.lit(1)).alias("n"),
@@ -96,12 +113,8 @@ def measure(
                 F.when(span <= 1, F.ceil((high - low + 1) / parts)).cast("long").alias("_seq_step"),
             )
         )
-        found = full.limit(BROADCAST_BUCKETS + 1).collect()
+        full, found = bounded(full)
         if not found:
             break
-        if len(found) <= BROADCAST_BUCKETS:
-            full = F.broadcast(df.sparkSession.createDataFrame(found, full.schema))
-        else:
-            full = settled(full)
         chunks = replace(chunks, splits=(*chunks.splits, full))
     return chunks

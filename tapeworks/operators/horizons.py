@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions import scalars as S
 from tapeworks.functions.timecols import DAY, HOUR, MINUTE, SECOND, floor_to, micros
 from tapeworks.operators.chunks import ROWS_PER_CHUNK
+from tapeworks.session import settled
 
 # The horizons of a tick.
 HORIZONS = {"1s": SECOND, "1min": MINUTE, "1h": HOUR, "24h": DAY}
@@ -138,6 +139,8 @@ def horizons(
     out = samples.withColumn("_us", micros(F.col("ts")))
     parts = {} if rows_per_block is None else block_counts(out, key, widths, rows_per_block)
     for name, width in widths.items():
+        if parts.get(name, 1) > 1:
+            out = settled(out)  # read twice below
         out = _one_horizon(out, key, name, width, parts.get(name, 1), out.columns)
     return out.drop("_us")
 

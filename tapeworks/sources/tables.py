@@ -19,6 +19,8 @@ FOLDERS = ["year", "month", "day", "hour"]
 # Limits of the serving reads.
 FULL_HOURS, LOOK_BACK = 24, timedelta(minutes=5)
 FULL_FILES, INCREMENTAL_FILES = 1500, 100
+# Up to this many hour folders (three years) are named in a predicate; more are joined.
+LISTED_FOLDERS = 26_000
 
 
 def with_folders(bars: DataFrame, zone: str = EASTERN) -> DataFrame:
@@ -26,20 +28,15 @@ def with_folders(bars: DataFrame, zone: str = EASTERN) -> DataFrame:
     return bars.withColumns(folder_keys(F.timestamp_millis("window_start"), zone))
 
 
-def write_bars(bars: DataFrame, root: str, mode: str = "append", files_per_hour: int = 1) -> None:
-    """Write into hour folders; rows of an hour meet in ``files_per_hour`` tasks first.
+def write_bars(bars: DataFrame, root: str, mode: str = "append") -> None:
+    """Write into hour folders; rows of an hour meet in one task, or several if they are many.
 
-    ``mode="overwrite"`` replaces only the folders that receive rows. Symbols spread over
-    the files of an hour, so raise ``files_per_hour`` with their number.
+    ``mode="overwrite"`` replaces only the folders that receive rows. The rebalance lets
+    adaptive execution merge short hours and split long ones by their size.
     """
-    keyed = with_folders(bars)
-    if files_per_hour == 1:
-        spread = keyed.repartition(*FOLDERS)
-    else:
-        slot = F.pmod(F.xxhash64("symbol", "window_start"), F.lit(files_per_hour))
-        spread = keyed.withColumn("_slot", slot).repartition(*FOLDERS, "_slot").drop("_slot")
     (
-        spread.sortWithinPartitions(*FOLDERS, "window_start", "symbol")
+        with_folders(bars).hint("rebalance", *FOLDERS)
+        .sortWithinPartitions(*FOLDERS, "window_start", "symbol")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -180,8 +177,13 @@ def merge_bars(spark: SparkSession, root: str, new: DataFrame) -> None:
     except AnalysisException:  # nothing written yet
         write_bars(new, root, "overwrite")
         return
-    touched = fresh.select(*FOLDERS).distinct()
-    old = table.join(touched, FOLDERS, "left_semi").withColumn("_priority", F.lit(0))
+    touched = fresh.select(F.concat(*FOLDERS).alias("_folder")).distinct()
+    listed = [r[0] for r in touched.limit(LISTED_FOLDERS + 1).collect()]
+    if len(listed) <= LISTED_FOLDERS:  # known when the files are listed: nothing else is opened
+        old = table.filter(F.concat(*FOLDERS).isin(listed))
+    else:
+        old = table.withColumn("_folder", F.concat(*FOLDERS)).join(touched, "_folder", "left_semi").drop("_folder")
+    old = old.withColumn("_priority", F.lit(0))
     merged = keep_last(union_bars(old, fresh), ["_priority", "last_ingestion_time"])
     write_bars(settled(merged.drop("_priority", *FOLDERS)), root, "overwrite")
 

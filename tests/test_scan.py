@@ -36,7 +36,7 @@ def test_chunks_are_small_and_in_order(spark, feed, rows):
 
 
 def test_many_full_buckets_use_a_shuffle_join(spark, feed, monkeypatch):
-    monkeypatch.setattr(C, "BROADCAST_BUCKETS", 0)
+    monkeypatch.setattr(C, "BROADCAST_ROWS", 0)
     chunks = measure(feed, ["symbol"], MINUTE, rows=20)
     plan = chunks.label(feed)._jdf.queryExecution().toString()
     assert "ResolvedHint (strategy=broadcast)" not in plan
