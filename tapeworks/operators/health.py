@@ -6,11 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tapeworks.functions.timecols import DAY, SECOND, micros
-from tapeworks.operators.chunks import CUT, Chunks, measure
+from tapeworks.functions.timecols import DAY, SECOND, floor_to, micros
+from tapeworks.operators.chunks import Chunks, bounded, measure
 from tapeworks.operators.scan import last_known, running
+from tapeworks.session import settled
 
 # Limits of the health rules.
 STALE_AFTER = 30 * SECOND
@@ -99,12 +99,12 @@ def lag_alerts(lags: DataFrame, limit: int = LAG_LIMIT) -> DataFrame:
     )
 
 
-def _send_times(times: np.ndarray, last: float | None, period: int) -> list[int]:
-    """Greedy choice: a time is sent if the one sent before is at least ``period`` older."""
+def _sent(times: np.ndarray, last: int | None, period: int) -> list[int]:
+    """Greedy choice: positions of the times at least ``period`` after the one sent before."""
     sent = []
     at = 0 if last is None else int(np.searchsorted(times, last + period, "left"))
     while at < len(times):
-        sent.append(int(times[at]))
+        sent.append(at)
         at = int(np.searchsorted(times, times[at] + period, "left"))
     return sent
 
@@ -128,49 +128,47 @@ def _outcomes(times: np.ndarray, period: int) -> list[tuple[int, int]]:
 
 
 def cooldown(
-    alerts: DataFrame, key: str = "alert_key", period: int = COOLDOWN, chunks: Chunks | None = None
+    alerts: DataFrame, key: str = "alert_key", period: int = COOLDOWN, width: int = DAY
 ) -> DataFrame:
     """Mark the alerts(key, ts, seq) that get through: none within ``period`` of the last sent.
 
-    Which alerts pass depends on all before them, so chunks first report, in parallel, what
+    Which alerts pass depends on all before them. Only the distinct instants of a key matter,
+    so copies merge before the shuffle. Stretches of ``width`` first report, in parallel, what
     each way of entering them leads to; those short reports are followed in order per key;
-    then all chunks mark their rows in parallel.
+    then all stretches list what they send, in parallel. The rows themselves are only joined.
     """
+    width = max(width, 32 * period)
     feed = alerts.withColumn("_us", micros(F.col("ts")))
-    chunks = chunks or measure(feed, [key], width=DAY)
-    feed = chunks.label(feed).drop("_span")
-    group, columns = chunks.group, alerts.columns  # plain lists: tasks must not see DataFrames
+    instants = feed.groupBy(key, "_us").agg(F.min("seq").alias("_seq"))
+    instants = instants.withColumn("_chunk", floor_to(F.col("_us"), width))
+    kind = alerts.schema[key].dataType.simpleString()
 
-    def report(ids, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _outcomes(np.unique(pdf["_us"].to_numpy()), period)
-        return pd.DataFrame([(*ids, i, o) for i, o in found], columns=[*group, "entry", "exit"])
+    def report(ids: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = _outcomes(np.sort(pdf["_us"].to_numpy()), period)
+        return pd.DataFrame([(*ids, i, o) for i, o in found], columns=[key, "_chunk", "entry", "exit"])
 
-    key_type = alerts.schema[key].dataType.simpleString()
-    reports = feed.select(*group, "_us").groupBy(*group).applyInPandas(
-        report, f"`{key}` {key_type}, _chunk long, _sub long, entry long, exit long"
-    )
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+    def follow(ids: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rows, last = [], None
-        for ids, part in pdf.sort_values([*CUT, "entry"]).groupby(group, sort=False):
-            rows.append((*ids, last))
-            entries, exits = part["entry"].to_numpy(), part["exit"].to_numpy()
-            at = 0 if last is None else int(np.searchsorted(entries, last + period, "left"))
-            if at < len(entries):
-                last = int(exits[at])
-        return pd.DataFrame(rows, columns=[*group, "last"]).astype({"last": "Int64"})
-
-    incoming = reports.groupBy(key).applyInPandas(
-        follow, f"`{key}` {key_type}, _chunk long, _sub long, last long"
+        for chunk, part in pdf.sort_values(["_chunk", "entry"]).groupby("_chunk", sort=False):
+            rows.append((ids[0], chunk, last))
+            at = 0 if last is None else int(np.searchsorted(part["entry"].to_numpy(), last + period, "left"))
+            if at < len(part):
+                last = int(part["exit"].iloc[at])
+        return pd.DataFrame(rows, columns=[key, "_chunk", "last"]).astype({"last": "Int64"})
+
+    def send(ids: tuple, pdf: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
+        last = entered["last"].iloc[0]
+        pdf = pdf.sort_values("_us").reset_index(drop=True)
+        return pdf.iloc[_sent(pdf["_us"].to_numpy(), None if pd.isna(last) else int(last), period)][[key, "_us", "_seq"]]
+
+    groups = [key, "_chunk"]
+    reports = instants.select(*groups, "_us").groupBy(*groups).applyInPandas(
+        report, f"`{key}` {kind}, _chunk long, entry long, exit long"
     )
-
-    def mark(pdf: pd.DataFrame, entered: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "seq"], kind="stable")
-        last = entered["last"].iloc[0] if len(entered) else None
-        last = None if last is None or pd.isna(last) else int(last)
-        chosen = _send_times(np.unique(pdf["_us"].to_numpy()), last, period)
-        first = ~pdf["_us"].duplicated()
-        return pdf.assign(sent=pdf["_us"].isin(chosen) & first)[[*columns, "sent"]]
-
-    schema = T.StructType([*alerts.schema.fields, T.StructField("sent", T.BooleanType())])
-    return feed.groupBy(*group).cogroup(incoming.groupBy(*group)).applyInPandas(mark, schema)
+    incoming = reports.groupBy(key).applyInPandas(follow, f"`{key}` {kind}, _chunk long, last long")
+    sent = instants.groupBy(*groups).cogroup(incoming.groupBy(*groups)).applyInPandas(
+        send, f"`{key}` {kind}, _us long, _seq long"
+    )
+    sent, _ = bounded(settled(sent.select(key, "_us", F.col("_seq").alias("seq"), F.lit(True).alias("sent"))))
+    marked = feed.join(sent, [key, "_us", "seq"], "left")
+    return marked.select(*alerts.columns, F.coalesce("sent", F.lit(False)).alias("sent"))

@@ -2,11 +2,9 @@ import random
 
 import pytest
 from helpers import as_dicts, at, trades
-from pyspark.sql import functions as F
 
-from tapeworks.functions.timecols import DAY, HOUR, SECOND, micros
+from tapeworks.functions.timecols import DAY, HOUR, SECOND
 from tapeworks.operators import health, quality
-from tapeworks.operators.chunks import measure
 
 
 def alerts(spark, rows):
@@ -23,13 +21,11 @@ def greedy(rows, period):
     return sent
 
 
-@pytest.mark.parametrize("seed, rows", [(1, 10_000), (2, 25), (3, 4), (4, 60)])
-def test_cooldown_equals_the_greedy_rule(spark, seed, rows):
+@pytest.mark.parametrize("seed, width", [(1, DAY), (2, HOUR), (3, 32 * 300 * SECOND), (4, 5 * HOUR)])
+def test_cooldown_equals_the_greedy_rule(spark, seed, width):
     rnd = random.Random(seed)
     feed = [(rnd.choice("aaab"), rnd.choice([rnd.randint(0, 90_000), rnd.randint(40_000, 43_000), 50_000])) for _ in range(400)]
-    df = alerts(spark, feed)
-    chunks = measure(df.withColumn("_us", micros(F.col("ts"))), ["alert_key"], DAY, rows=rows)
-    made = health.cooldown(df, chunks=chunks)
+    made = health.cooldown(alerts(spark, feed), width=width)
     assert made.count() == len(feed)
     assert {r.seq for r in made.filter("sent").collect()} == greedy(feed, 300)
 
