@@ -5,7 +5,8 @@ length per row, so time is cut into blocks of length b, with w = m * b. The span
 end of block k - m, the whole blocks between, and the start of block k up to t. Starts and
 ends are running aggregates; each row visits its own block and, shifted by w, the block m
 further on, where later rows meet it. The blocks between come from a table with one row per
-block. Every row is shuffled twice per horizon, whatever its length.
+block. Every row is shuffled twice per horizon, whatever its length. Usually m is 1; it grows
+until the fullest block fits a task.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def _parts() -> dict[str, tuple]:
 
 
 def block_counts(
-    samples: DataFrame, key: str, widths: dict[str, int], rows: int, limit: int = 1 << 20
+    samples: DataFrame, key: str, widths: dict[str, int], rows: int
 ) -> dict[str, int]:
     """Blocks per horizon so that the fullest block holds at most about ``rows`` rows."""
     parts, todo = {name: 1 for name in widths}, dict(widths)
@@ -51,18 +52,45 @@ def block_counts(
         fullest = dict(counted.groupBy("b.name").agg(F.max("count")).collect())
         over = {}
         for name, width in todo.items():
-            factor = 1
-            while (fullest.get(name) or 0) > rows * factor and parts[name] * factor < limit:
-                factor *= 2
-            while factor > 1 and width % (parts[name] * factor):
-                factor //= 2
-            if factor > 1:
-                parts[name] *= factor
+            if (fullest.get(name) or 0) > rows and width % (10 * parts[name]) == 0:
+                parts[name] *= 10
                 over[name] = width
         todo = over
     return parts
 
 
+def _between(whole: DataFrame, key: str, width: int, length: int) -> DataFrame:
+    """Aggregates over the whole blocks between the two ends, for every block.
+
+    The same scheme once more, on one row per block: the span (block - width, block - length]
+    meets the end of one stretch of its own size and the start of the next.
+    """
+    size, parts = width - length, _parts()
+    copies = F.array(*[
+        F.struct(F.lit(role).alias("role"), at.alias("at"), floor_to(at, size).alias("stretch"))
+        for role, at in (
+            ("own", F.col("_block")), ("past", F.col("_block") + size), ("asks", F.col("_block") - length)
+        )
+    ])
+    laid = whole.select("*", F.explode(copies).alias("c")).select("*", "c.*").drop("c")
+    group = W.partitionBy(key, "stretch")
+    start = group.orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    end = group.orderBy(F.desc("at")).rangeBetween(W.unboundedPreceding, -1)
+    role, columns = F.col("role"), {}
+    for part, (how, _) in parts.items():
+        value = F.col(f"_b_{part}")
+        columns[f"_x_{part}"] = how(F.when(role == "own", value)).over(start)
+        columns[f"_y_{part}"] = how(F.when(role == "past", value)).over(end)
+    merged = {
+        "first": F.least, "last": F.greatest, "high": F.greatest, "low": F.least,
+        "buy": lambda x, y: F.coalesce(x + y, x, y), "sell": lambda x, y: F.coalesce(x + y, x, y),
+    }
+    return laid.withColumns(columns).filter(role == "asks").select(
+        key, "_block",
+        *[merged[part](F.col(f"_x_{part}"), F.col(f"_y_{part}")).alias(f"_m_{part}") for part in parts],
+    )
+
+
 def _one_horizon(feed: DataFrame, key: str, name: str, width: int, m: int, keep: list[str]) -> DataFrame:
     length = width // m
     parts = _parts()
@@ -97,10 +125,7 @@ def _one_horizon(feed: DataFrame, key: str, name: str, width: int, m: int, keep:
         whole = feed.withColumn("_block", block).groupBy(key, "_block").agg(
             *[how(value).alias(f"_b_{part}") for part, (how, value) in parts.items()]
         )
-        between = W.partitionBy(key).orderBy("_block").rangeBetween(-(width - length), -length)
-        whole = whole.select(key, "_block", *[
-            how(F.col(f"_b_{part}")).over(between).alias(f"_m_{part}") for part, (how, _) in parts.items()
-        ])
+        whole = _between(whole, key, width, length)
         out = out.join(whole, [key, "_block"], "left")
         sources = ["e", "m", "s"]
 

@@ -28,7 +28,7 @@ def test_blocks_equal_frames(spark, span, limit):
     same(as_dicts(horizons(feed, WIDTHS, rows_per_block=limit), "seq"), as_dicts(horizons_by_frame(feed, WIDTHS), "seq"))
 
 
-def test_full_blocks_are_halved(spark):
+def test_full_blocks_are_divided(spark):
     feed = samples(spark, random_trades(300)).withColumn("_us", F.unix_micros("ts"))
     parts = block_counts(feed, "symbol", WIDTHS, 10)
     assert parts["24h"] > parts["1min"] >= 1 and all(WIDTHS[n] % m == 0 for n, m in parts.items())
