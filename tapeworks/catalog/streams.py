@@ -205,8 +205,10 @@ def t03(spark, folder):
     return V.rounded(tick_plan.ticks(*feeds, step=HOUR, widths=SPANS))
 
 
-@query("t03_ticks_stream", _ticks_sql()
-       + f" WHERE \"timestamp\" * 1000 <= (SELECT max(us) FROM feed) - {5 * MINUTE}")
+# up to the last closed hour in which the symbol had messages: later ones are filled by the next
+@query("t03_ticks_stream", _ticks_sql() + f"""
+WHERE "timestamp" <= (SELECT max(us - us % {HOUR} + {HOUR}) // 1000 FROM feed f WHERE f.symbol = healthy.symbol
+                      AND us - us % {HOUR} + {HOUR} <= (SELECT max(us) FROM feed) - {5 * MINUTE})""")
 def t03_stream(spark, folder):
     feeds = (as_(feed(spark, folder)) for as_ in (V.as_trades, V.as_tickers, V.as_changes))
     made = ticks.streaming_ticks(*feeds, step="1 hour", step_us=HOUR, widths=SPANS, lateness="5 minutes")

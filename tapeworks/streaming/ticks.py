@@ -171,7 +171,8 @@ def streaming_ticks(
     step_us: int = SECOND, widths: dict[str, int] | None = None, lateness: str = "10 seconds",
     k: int = MAX_LEVELS,
 ) -> DataFrame:
-    """The batch tick record from streams. A step is emitted once the watermark has passed it."""
+    """The batch tick record from streams. A step is emitted once the watermark has passed it;
+    steps without messages are filled in when the next message of the symbol arrives."""
     use_rocksdb(trades.sparkSession)
     spans = {("24h_calculated" if n == "24h" else n): w for n, w in (widths or HORIZONS).items()}
     maker = TickMaker(step_us, spans, k)
