@@ -59,7 +59,7 @@ def sessions(trades: DataFrame, chunks: Chunks | None = None, **limits) -> DataF
     """Number the feed sessions: the first trade after a restart opens a new one."""
     feed = trades.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"])
-    checked = gaps(trades, chunks=chunks, **limits).withColumn("_us", micros(F.col("ts")))
+    checked = settled(gaps(trades, chunks=chunks, **limits).withColumn("_us", micros(F.col("ts"))))
     opened = F.col("restart").cast("long")
     return running(checked, chunks, {"feed_session": ("sum", opened)}).drop("_us")
 

@@ -205,17 +205,16 @@ def hourly(bars: DataFrame, last: int | None = 30) -> DataFrame:
         .agg(*[v.alias(f"_{n}") for n, v in figures.items()])
         .select("symbol", F.col("_hour").alias("hour_start"), *[F.col(f"_{n}").alias(n) for n in figures])
     )
-    # every hour fills the gap up to the next one, so no task lays out a whole grid
+    # every hour also lays out the empty hours up to the next one
     following = F.lead("hour_start").over(W.partitionBy("symbol").orderBy("hour_start"))
-    gaps = (
-        rolled.select("symbol", "hour_start", following.alias("_next"))
-        .filter(F.col("_next") - F.col("hour_start") > HOUR_MS)
-        .select("symbol", F.explode(F.sequence(
-            F.col("hour_start") + HOUR_MS, F.col("_next") - HOUR_MS, F.lit(HOUR_MS)
-        )).alias("hour_start"))
-        .withColumns({c: F.lit(0).cast(dict(rolled.dtypes)[c]) for c in sums})
+    until = F.coalesce(following - HOUR_MS, F.col("hour_start"))
+    laid = rolled.withColumn("_until", until).withColumn(
+        "_hour", F.explode(F.sequence("hour_start", "_until", F.lit(HOUR_MS)))
     )
-    full = rolled.unionByName(gaps, allowMissingColumns=True)
+    filled = F.col("_hour") == F.col("hour_start")
+    full = laid.select("symbol", F.col("_hour").alias("hour_start"), *[
+        F.when(filled, F.col(n)).otherwise(F.lit(0) if n in sums else F.lit(None)).alias(n) for n in figures
+    ])
     if last is None:
         return full
     newest = W.partitionBy("symbol").orderBy(F.desc("hour_start"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions.timecols import EASTERN, iso_text
 from tapeworks.operators.serving import hourly, latest, present, tail, window_summary
+from tapeworks.session import settled
 
 # Rows analysed, rows sent along, hour buckets sent along.
 WINDOW_ROWS, SENT_ROWS, HOURS = 1440, 180, 30
@@ -50,8 +51,8 @@ def market_context(
     columns: list[str] | None = None, zone: str = EASTERN,
 ) -> DataFrame:
     """(symbol, context): meta, latest row, summary, hour rollup and recent rows as JSON."""
-    wanted = columns or [c for c in present(bars).columns]
-    window = tail(bars.select("symbol", *wanted), max(1, rows_max))
+    wanted = columns or present(bars).columns
+    window = settled(tail(bars.select("symbol", *wanted), max(1, rows_max)))  # four parts read it
     now = iso_text(F.timestamp_micros(F.lit(as_of_us)), zone)
     sent = _records(tail(window, min(SENT_ROWS, rows_max)), "window_start", "rows")
     buckets = hourly(window, HOURS).withColumnRenamed("hour_start", "window_start")
