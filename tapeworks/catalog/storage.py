@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from tapeworks.catalog import views as V
-from tapeworks.catalog.aggregates import DOUBLES, PLAIN, hour_bars, minute_bars
+from tapeworks.catalog.aggregates import DOUBLES, PLAIN, hour_bars
 from tapeworks.catalog.registry import query
 from tapeworks.functions.timecols import MINUTE, micros
 from tapeworks.operators.bars import bars

@@ -133,7 +133,7 @@ def newest_files(table: DataFrame, n: int = INCREMENTAL_FILES) -> DataFrame:
 
 
 def read_newest(spark: SparkSession, root: str, n: int = INCREMENTAL_FILES) -> DataFrame:
-    """Rows of the ``n`` files written last; only those files are opened."""
+    """Rows of the ``n`` files written last (a full load takes ``FULL_FILES``); no other is opened."""
     paths = [row.file_path for row in newest_files(bar_table(spark, root), n).collect()]
     if not paths:
         return bar_table(spark, root).limit(0).drop(*FOLDERS)

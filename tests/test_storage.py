@@ -4,7 +4,6 @@ import time
 
 import pytest
 from helpers import UTC, as_dicts, at, trades
-from pyspark.sql import functions as F
 
 from tapeworks.operators.bars import bars
 from tapeworks.plans import batch_layer
