@@ -25,7 +25,7 @@ def new_name(partition: int, number: int, suffix: str) -> str:
 def create(folder: str, name: str) -> tuple[str, pa.NativeFile]:
     store, path = open_store(folder)
     store.create_dir(path, recursive=True)
-    return f"{folder}/{name}", store.open_output_stream(f"{path}/{name}")
+    return f"{folder}/{name}", store.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def open_file(uri: str) -> pa.NativeFile:
