@@ -156,7 +156,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     rows = {lang: np.zeros(N_CLASSES + len(WORDS) + 1) for lang in sorted({r["_lang"] for r in sums})}
     for lang, number, count in sums:
         rows[lang][number] = count
-    whole = np.array(list(rows.values())).reshape(len(rows), -1)
+    whole = np.array(list(rows.values())).reshape(len(rows), N_CLASSES + len(WORDS) + 1)
     return whole[:, :N_CLASSES], whole[:, N_CLASSES:]
 
 

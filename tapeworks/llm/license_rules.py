@@ -421,8 +421,8 @@ RULES_TEXT = r"""
 2 commercial   not for commercial (?:use|purposes)
 3 noncommercial noncommercial use only
 [research-only]
-2 research     for research (?:use|purposes) only
-3 academic     for academic (?:use|purposes) only
+2 research     for research purposes only
+3 academic     for academic purposes only
 [unknown-license]
 2 licensed     this (?:work|software|file|program|project|content|text) is licensed under
 2 subject      subject to the terms (?:and conditions )?of the (?:\S+ ){0,4}licen[sc]e

@@ -17,7 +17,6 @@ the detections (four small numbers each) are shuffled, never texts.
 from __future__ import annotations
 
 import json
-import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -124,29 +123,3 @@ def license_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
-
-
-def plain_report(text: str | None, rules: tuple[Rule, ...] = RULES) -> dict:
-    """The same for one text in plain Python, rule by rule and pair by pair; for tests."""
-    words = re.findall("[0-9a-z\x80-\U0010ffff]+", (text or "").translate(str.maketrans(UPPER, LOWER)))
-    told = " ".join(["", *words, ""])
-    found = []
-    for rule in rules:
-        for m in re.finditer(rf"(?<= )(?:{rule.pattern})(?= )", told):
-            start = told.count(" ", 0, m.start()) - 1
-            found.append((start, start + m.group().count(" "), rule))
-    stays = [
-        (s, e, r) for s, e, r in found
-        if not any(
-            a <= s and b >= e and q.priority <= r.priority and ((a, b) != (s, e) or (q.priority, q.number) < (r.priority, r.number))
-            for a, b, q in found
-        )
-    ]
-    base = [(s, r.label) for s, _, r in found if r.base]
-    return {
-        "n_words": len(words), "n_base": len(base),
-        "first_word": min((s for s, _ in base), default=None), "last_word": max((s for s, _ in base), default=None),
-        "base_labels": ",".join(sorted({x for _, x in base})),
-        "labels": ",".join(sorted({x for _, x in base} | {r.label for _, _, r in stays})),
-        "score": max((WEIGHTS[r.priority] for _, _, r in stays), default=0.0),
-    }
