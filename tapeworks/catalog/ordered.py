@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapeworks.catalog import views as V
-from tapeworks.catalog.aggregates import hour_bars, minute_bars
+from tapeworks.catalog.aggregates import AS_OF_US, hour_bars, minute_bars
 from tapeworks.catalog.registry import query
 from tapeworks.functions.timecols import HOUR, MINUTE, SECOND, micros
 from tapeworks.operators import align, flow, health, horizons, quality, serving
@@ -134,6 +134,17 @@ def w7(spark, folder):
     return health.gaps(V.trades(spark, folder)).select("seq", "gap_us", "stale_checks", "restart", "restart_us")
 
 
+@query("w7_silence", f"""WITH {V.SQL_TRADES},
+last AS (SELECT symbol, max(us) AS last_us FROM trades GROUP BY 1),
+due AS (SELECT *, last_us + 30000000 - (last_us + 30000000) % 10000000 + 10000000 AS first FROM last),
+found AS (SELECT *, least(3, greatest(0, floor(({AS_OF_US} - first) / 10000000.0) + 1))::BIGINT AS stale_checks FROM due)
+SELECT symbol, last_us, {AS_OF_US} - last_us AS gap_us, stale_checks, stale_checks = 3 AS restart,
+       CASE WHEN stale_checks = 3 THEN first + 20000000 END AS restart_us FROM found""")
+def w7_silence(spark, folder):
+    """What the checks found after each symbol's last trade."""
+    return health.silence(V.trades(spark, folder), AS_OF_US)
+
+
 @query("w8_sessions", f"""WITH {SQL_GAPS}, numbered AS (
   SELECT *, sum(restart::BIGINT) OVER (PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING)::BIGINT
     AS feed_session FROM gaps)

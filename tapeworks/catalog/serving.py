@@ -1,6 +1,7 @@
 """Queries: timelines, recent rows, merges, the context document."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeworks.catalog import views as V
 from tapeworks.catalog.aggregates import AS_OF_US, DOUBLES, PLAIN, hour_bars, minute_bars
@@ -18,7 +19,7 @@ LABELS = {"5 Minutes": 300_000, "1 Hour": 3_600_000, "1 Day": 86_400_000}
 
 @query("p17_timeline", f"WITH {V.MINUTE_BARS}\n" + " UNION ALL ".join(
     f"""SELECT '{label}' AS timeline, symbol, window_start, close FROM bars
-WHERE window_start >= {AS_OF_MS - span} OR (SELECT max(window_start) FROM bars) < {AS_OF_MS - span}"""
+QUALIFY window_start >= {AS_OF_MS - span} OR max(window_start) OVER (PARTITION BY symbol) < {AS_OF_MS - span}"""
     for label, span in LABELS.items()))
 def p17(spark, folder):
     made = minute_bars(spark, folder).select("symbol", "window_start", "close")
@@ -214,8 +215,23 @@ def c1_fields(spark, folder):
     ))
 
 
-@query("q_schema")
+# Minute bars with a column missing, one too many, two out of place and one of another type.
+SCHEMA_NAMES = "symbol window_start window_end open high low close num_ticks trade_count_1m".split()
+
+
+@query("q_schema", f"""WITH {V.MINUTE_BARS}, n AS (
+  SELECT count(*) AS n, count(*) FILTER (trade_count_1m = 1) AS bad, count(*) FILTER (open > 0) AS opened,
+         count(*) FILTER (high > 0) AS highs, count(*) FILTER (low > 0) AS lows FROM bars)
+SELECT 'symbol' AS "column", NULL AS difference, n AS filled, 0 AS unreadable FROM n
+UNION ALL SELECT 'window_start', NULL, n, 0 FROM n UNION ALL SELECT 'window_end', NULL, n, 0 FROM n
+UNION ALL SELECT 'open', 'position', opened, 0 FROM n UNION ALL SELECT 'high', 'position', highs, 0 FROM n
+UNION ALL SELECT 'low', NULL, lows, 0 FROM n UNION ALL SELECT 'close', 'missing', 0, 0 FROM n
+UNION ALL SELECT 'num_ticks', NULL, n, 0 FROM n UNION ALL SELECT 'trade_count_1m', 'type', n, bad FROM n
+UNION ALL SELECT 'extra', 'extra', n, 0 FROM n""")
 def q_schema(spark, folder):
-    from tapeworks.operators.quality import schema_differences
-    made = minute_bars(spark, folder).drop("close").withColumn("extra", F.lit(1))
-    return schema_differences(made, BAR_SCHEMA)
+    from tapeworks.operators.quality import schema_report
+    declared = T.StructType([BAR_SCHEMA[n] for n in SCHEMA_NAMES])
+    count = F.when(F.col("trade_count_1m") == 1, "one").otherwise(F.col("trade_count_1m").cast("string"))
+    made = minute_bars(spark, folder).select(
+        "symbol", "window_start", "window_end", "high", "open", "low", "num_ticks", count.alias("trade_count_1m"), F.lit(1).alias("extra"))
+    return schema_report(made, declared).select("column", "difference", "filled", "unreadable")

@@ -1,7 +1,6 @@
 """Queries: decoding the raw feed, and the bar table written and read back."""
 
 import datetime as dt
-import time
 
 from pyspark.sql import functions as F
 
@@ -12,7 +11,7 @@ from tapeworks.functions.timecols import MINUTE, micros
 from tapeworks.operators.bars import bars
 from tapeworks.plans import batch_layer
 from tapeworks.schemas import RAW_SCHEMA
-from tapeworks.session import work_folder
+from tapeworks.session import store, work_folder
 from tapeworks.sources import decode, tables, topics
 from tapeworks.streaming.drain import drain
 
@@ -110,18 +109,31 @@ def s07_full(spark, folder):
     return V.rounded(day.select("symbol", "window_start", "open", "close"))
 
 
+def stamp(spark, root, when, known=frozenset()) -> set[str]:
+    """Set the file times of what was written below ``root`` since ``known`` was; returns those files."""
+    fresh = {f.path for f in tables.list_files(spark, root)} - known
+    for path in fresh:
+        files, where = store(spark, path)
+        files.setTimes(where, ms(when), -1)
+    return fresh
+
+
+HOUR_SPAN = dt.timedelta(hours=1)
+
+
+# the load before was five hours ago; hours are read whole, with one of slack on both sides
 @query("s08_incremental", V.sql(
     V.HOUR_BARS, "open close", "symbol window_start", "bars",
-    f"""WHERE window_start BETWEEN {ms(NOW) - 5400_000} AND {ms(NOW) + 3600_000 - 1800_000}
+    f"""WHERE window_start BETWEEN {ms(NOW) - 7 * 3600_000 - 1800_000 + 3600_000} AND {ms(NOW) + 5400_000 - 1}
           AND volatility_regime <> 'medium'"""))
 def s08(spark, folder):
     """Bars written first must not come back when asked for files written since."""
     made = hour_bars(spark, folder)
     root = written(spark, folder, made.filter("volatility_regime = 'medium'"))
-    time.sleep(2)
-    since = dt.datetime.now(UTC) - dt.timedelta(seconds=1) + tables.LOOK_BACK
+    first = stamp(spark, root, NOW - 10 * HOUR_SPAN)
     tables.write_bars(made.filter("volatility_regime <> 'medium'"), root)
-    fresh = tables.read_incremental(spark, root, NOW, since)
+    stamp(spark, root, NOW - 2 * HOUR_SPAN, first)
+    fresh = tables.read_incremental(spark, root, NOW, NOW - 5 * HOUR_SPAN)
     return V.rounded(fresh.select("symbol", "window_start", "open", "close"))
 
 
@@ -130,21 +142,34 @@ def s08(spark, folder):
 def s09(spark, folder):
     """Each symbol in files of its own, one after the other; the newest hold the last symbol."""
     root, made = work_folder(spark, "newest"), hour_bars(spark, folder)
-    for symbol in ("S0", "S1", "S2"):
-        # one file per symbol: a single folder key for all of its bars
-        one = made.filter(F.col("symbol") == symbol)
-        one.withColumns({k: F.lit("00") for k in tables.FOLDERS}).coalesce(1).write.mode("append").partitionBy(
-            *tables.FOLDERS).parquet(root)
-        time.sleep(1.1)
-    return V.rounded(tables.read_newest(spark, root, 1).select("symbol", "window_start", "open", "close"))
+    known, last = set(), set()
+    for hour, symbol in enumerate(("S0", "S1", "S2")):
+        tables.write_bars(made.filter(F.col("symbol") == symbol), root)
+        last = stamp(spark, root, NOW + hour * HOUR_SPAN, known)
+        known |= last
+    return V.rounded(tables.read_newest(spark, root, len(last)).select("symbol", "window_start", "open", "close"))
+
+
+@query("s09_newest_of_day", V.sql(V.HOUR_BARS, "open close", "symbol window_start", "bars",
+                                  f"WHERE symbol = 'S2' AND window_start BETWEEN {ms(NOW) - 24 * 3600_000 - 1800_000} AND {ms(NOW)}"))
+def s09_day(spark, folder):
+    """The cap on files on top of the full read: of the day's folders, the files written last."""
+    root, made = work_folder(spark, "newest"), hour_bars(spark, folder)
+    tables.write_bars(made.filter("symbol <> 'S2'"), root)
+    first = stamp(spark, root, NOW)
+    tables.write_bars(made.filter("symbol = 'S2'"), root)
+    stamp(spark, root, NOW + HOUR_SPAN, first)
+    hours = {tables.folder_path("", tables._folder(NOW - h * HOUR_SPAN)) for h in range(25)}
+    fresh = [f for f in tables.list_files(spark, root) if f.path not in first and any(h in f.path for h in hours)]
+    return V.rounded(tables.read_full(spark, root, NOW, files=len(fresh)).select("symbol", "window_start", "open", "close"))
 
 
 @query("s10_skip_bad", V.sql(V.HOUR_BARS, "open close", "symbol window_start", "bars"))
 def s10(spark, folder):
     root = written(spark, folder)
-    junk = V.load(spark, folder, "events").select("props").coalesce(1)
+    junk = V.load(spark, folder, "events").select("props")
     junk.write.mode("append").text(f"{root}/year=2024/month=01/day=05/hour=05")
-    return V.rounded(tables.bar_table(spark, root).select("symbol", "window_start", "open", "close"))
+    return V.rounded(tables.bar_table(spark, root, skip_damaged=True).select("symbol", "window_start", "open", "close"))
 
 
 @query("s11_quarantine", """
@@ -154,12 +179,39 @@ def s11(spark, folder):
     return decode.quarantine_counts(decode.parse(raw(spark, folder), RAW_SCHEMA))
 
 
-@query("s12_validate", f"""WITH {V.HOUR_BARS}
+@query("s11_reasons", """
+SELECT 'feed' AS topic, CASE WHEN event_type = 'error' THEN 'unreadable' WHEN event_type = 'signup' THEN 'no time'
+       WHEN user_id % 2 = 0 THEN 'no symbol' ELSE 'no price' END AS reason, count(*) AS records
+FROM events WHERE event_type IN ('error', 'signup', 'purchase') GROUP BY ALL""")
+def s11_reasons(spark, folder):
+    """The feed with fields taken out: the time of updates, symbol or price of some matches."""
+    fed = V.events_feed(spark, folder)
+    kind, even = F.col("event_type"), F.col("user_id") % 2 == 0
+    text = V.raw_messages(fed.withColumns({
+        "ts": F.when(kind != "signup", F.col("ts")),
+        "symbol": F.when((kind != "purchase") | ~even, F.col("symbol")),
+        "value": F.when((kind != "purchase") | even, F.col("value")),
+    }))
+    return decode.quarantine_reasons(decode.parse(text, RAW_SCHEMA))
+
+
+# the first folder is taken away, the last one is left with an empty file
+@query("s12_validate", f"""WITH {V.HOUR_BARS}, f AS (
 SELECT window_start_est[1:4] AS year, window_start_est[6:7] AS month, window_start_est[9:10] AS day,
-       window_start_est[12:13] AS hour, 1 AS files, count(*) AS rows, 'ok' AS status FROM bars GROUP BY ALL""")
+       window_start_est[12:13] AS hour, count(*) AS n FROM bars GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (ORDER BY year, month, day, hour) AS up,
+             row_number() OVER (ORDER BY year DESC, month DESC, day DESC, hour DESC) AS down FROM f)
+SELECT year, month, day, hour, CASE WHEN up = 1 THEN 0 ELSE 1 END AS files, CASE WHEN up = 1 OR down = 1 THEN 0 ELSE n END AS rows,
+       CASE WHEN up = 1 THEN 'missing' WHEN down = 1 THEN 'empty' ELSE 'ok' END AS status FROM r""")
 def s12(spark, folder):
-    root = written(spark, folder)
-    return tables.validate(spark, root, hour_bars(spark, folder)).drop("newest_size")
+    root, made = written(spark, folder), hour_bars(spark, folder)
+    held = sorted({f.path.rsplit("/", 1)[0] for f in tables.list_files(spark, root)})
+    for place in (held[0], held[-1]):
+        files, where = store(spark, place)
+        files.delete(where, True)
+    files, where = store(spark, f"{held[-1]}/part-00000.parquet")
+    files.create(where, True).close()
+    return tables.validate(spark, root, made).drop("newest_size")
 
 
 @query("s02_topic_sink", f"""WITH {V.SQL_TRADES}

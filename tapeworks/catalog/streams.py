@@ -3,15 +3,18 @@
 from pyspark.sql import functions as F
 
 from tapeworks.catalog import views as V
-from tapeworks.catalog.aggregates import DOUBLES, PLAIN, sql_books
+from tapeworks.catalog.aggregates import DOUBLES, PLAIN, hour_bars, sql_books
 from tapeworks.catalog.ordered import SQL_LAGS, SQL_SYMBOL_ALERTS, alert_sql, lag_readings, symbol_alerts
 from tapeworks.catalog.registry import query
+from tapeworks.catalog.storage import HOUR_SPAN, NOW, stamp
 from tapeworks.functions.timecols import DAY, HOUR, MINUTE, SECOND
 from tapeworks.plans import ticks as tick_plan
-from tapeworks.schemas import TICK_SCHEMA
+from tapeworks.schemas import BAR_SCHEMA, TICK_SCHEMA
 from tapeworks.session import work_folder
+from tapeworks.sources import tables, topics
 from tapeworks.streaming import alerts, bars, book, state, ticks
 from tapeworks.streaming.drain import drain, dropped_late
+from tapeworks.streaming.upsert import upsert_stream
 
 
 def feed(spark, folder):
@@ -102,9 +105,11 @@ def t08(spark, folder):
     """Buys arrive first, sells next, errors last: by then the watermark is past most of them."""
     landed = work_folder(spark, "late")
     rows = V.ticks(spark, folder).select("symbol", "ts", "seq", "price", "side")
-    for part in ("side = 'buy'", "side = 'sell' AND price > 0", "price = 0"):
-        rows.filter(part).coalesce(1).write.mode("append").parquet(landed)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    known = set()
+    for hour, part in enumerate(("side = 'buy'", "side = 'sell' AND price > 0", "price = 0")):
+        rows.filter(part).repartition(4).write.mode("append").parquet(landed)
+        known |= stamp(spark, landed, NOW + hour * HOUR_SPAN, known)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(landed)
     hours = (
         stream.withWatermark("ts", "5 minutes").groupBy("symbol", F.window("ts", "1 hour").alias("w"))
         .agg(F.count(F.lit(1)).alias("ticks"))
@@ -123,6 +128,35 @@ def t10(spark, folder):
     return drain(V.with_us(once).select("symbol", "us", "seq"))[0]
 
 
+@query("t09_chain", V.sql(V.MINUTE_BARS, DOUBLES, PLAIN, "bars",
+                          f"WHERE window_end * 1000 <= (SELECT max(us) FROM ticks) - {5 * MINUTE}"))
+def t09(spark, folder):
+    """Ticks topic -> bar stream -> bars topic -> hour folders, each query with its own checkpoint."""
+    place = work_folder(spark, "chain")
+    made = V.ticks(spark, folder)
+    topics.publish(made, format="text", path=f"{place}/ticks")
+    read = topics.decoded(topics.read_topic(spark, "text", f"{place}/ticks"), made.schema)
+    topics.write_topic(bars.streaming_bars(read), f"{place}/c1", "text", f"{place}/bars", available_now=True).awaitTermination()
+    landed = topics.decoded(topics.read_topic(spark, "text", f"{place}/bars"), BAR_SCHEMA).select(*BAR_SCHEMA.names)
+    tables.stream_bars(landed, f"{place}/table", f"{place}/c2", available_now=True).awaitTermination()
+    return V.rounded(tables.bar_table(spark, f"{place}/table").drop(*tables.FOLDERS))
+
+
+@query("u3_stream", f"""WITH {V.HOUR_BARS}
+SELECT symbol, window_start, round(close + 1.3e-9, 6) + 0.0 AS close FROM bars""")
+def u3_stream(spark, folder):
+    """An early edition of some bars, then all of them, merged by micro-batches; no bar is doubled."""
+    place, made = work_folder(spark, "upsert"), hour_bars(spark, folder)
+    early = made.filter("symbol <> 'S1'").withColumn("close", F.col("close") + 1)
+    known = set()
+    for hour, edition in enumerate((early, made)):
+        edition.repartition(2).write.mode("append").parquet(f"{place}/landed")
+        known |= stamp(spark, f"{place}/landed", NOW + hour * HOUR_SPAN, known)
+    landed = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", 2).parquet(f"{place}/landed")
+    upsert_stream(landed, f"{place}/table", f"{place}/checkpoint", available_now=True).awaitTermination()
+    return V.rounded(tables.bar_table(spark, f"{place}/table").select("symbol", "window_start", "close"))
+
+
 # The hours of the feed stand in for seconds, and the horizons are stretched alike.
 SPANS = {"1s": HOUR, "1min": 6 * HOUR, "1h": DAY, "24h": 3 * DAY}
 

@@ -177,11 +177,12 @@ def bars(
 ) -> DataFrame:
     """The full bar record per (symbol, ``width`` microseconds) from ticks(symbol, ts, seq, ...).
 
-    ``complete_before`` drops bars that end after that instant (the one still open).
+    ``complete_before`` drops bars that end after that instant (the one still open). Ticks
+    without a time belong to no bar.
     """
     if max_ticks is not None:
         ticks = cap_ticks(ticks, width, max_ticks)
-    feed = with_defaults(ticks).withColumn("_us", micros(F.col("ts")))
+    feed = with_defaults(ticks.filter(F.col("ts").isNotNull())).withColumn("_us", micros(F.col("ts")))
     feed = feed.withColumn("_bar", floor_to(F.col("_us"), width))
     if chunks is None:
         chunks = measure(feed, ["symbol"], width)

@@ -1,7 +1,8 @@
 """Order books as relations: levels per instant, top of book, depth around the mid price.
 
-``changes`` has symbol, ts, seq, kind ('snapshot' or 'l2update'), side, price and size. All
-levels of one snapshot share ts and seq; a size of 0 deletes a level.
+``changes`` has symbol, ts, seq, kind ('snapshot' or 'l2update'), side, price and size, and part,
+the place within a message, where messages hold several changes. All levels of one snapshot
+share ts and seq; a size of 0 deletes a level.
 """
 
 from __future__ import annotations
@@ -36,11 +37,16 @@ def with_snapshot(changes: DataFrame, chunks: Chunks | None = None) -> DataFrame
     )
 
 
+def order_of(changes: DataFrame) -> list[str]:
+    """Columns that put changes in order."""
+    return ["_us", "seq", *(["part"] if "part" in changes.columns else [])]
+
+
 def level_changes(changes: DataFrame, every: int, chunks: Chunks | None = None) -> DataFrame:
     """Last size of each level per bucket and snapshot era."""
     marked = with_snapshot(changes, chunks).withColumn("bucket", floor_to(F.col("_us"), every))
     return marked.groupBy("symbol", "side", "price", "bucket").agg(
-        F.max_by(F.struct("size", "_snap"), F.struct("_us", "seq")).alias("_last")
+        F.max_by(F.struct("size", "_snap"), F.struct(*order_of(changes))).alias("_last")
     ).select("symbol", "side", "price", "bucket", "_last.*")
 
 
@@ -176,12 +182,13 @@ def quotes(
     feed = changes.withColumn("_us", micros(F.col("ts")))
     chunks = chunks or measure(feed, ["symbol"], width=max(HOUR, step))
     feed = chunks.label(with_snapshot(changes, chunks)).drop("_span")
+    order = order_of(changes)
 
     def fold(key, now: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         sides = {"buy": {}, "sell": {}}
         for side, price, size in zip(start["side"], start["price"], start["size"]):
             sides[side][price] = size
-        now = now.sort_values(["_us", "seq"], kind="stable")
+        now = now.sort_values(order, kind="stable")
         names = ["_us", "seq", "kind", "side", "price", "size"]
         rows, opened, current = [], None, None
 
@@ -201,9 +208,9 @@ def quotes(
             emit()
         return pd.DataFrame(rows, columns=["symbol", "bucket", "cut", "bids", "asks"])
 
-    slim = feed.select("symbol", *CUT, "_us", "seq", "kind", "side", "price", "size")
+    slim = feed.select("symbol", *CUT, *order, "kind", "side", "price", "size")
     ends = feed.groupBy("symbol", *CUT, "side", "price").agg(
-        F.max_by(F.struct("size", "_snap"), F.struct("_us", "seq")).alias("_last")
+        F.max_by(F.struct("size", "_snap"), F.struct(*order)).alias("_last")
     ).select("symbol", *CUT, "side", "price", "_last.*")
     opening = _opening(settled(ends))
     opening = opening.toDF(*opening.columns)  # columns of its own: both sides come from one feed

@@ -117,4 +117,6 @@ def measure(
         if not found:
             break
         chunks = replace(chunks, splits=(*chunks.splits, full))
+    else:
+        raise ValueError(f"chunks are still over {rows} rows after {rounds} cuts")
     return chunks

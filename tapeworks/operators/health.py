@@ -55,6 +55,26 @@ def gaps(
     }).drop("_us", "_before")
 
 
+def silence(
+    trades: DataFrame, as_of_us: int, stale_after: int = STALE_AFTER, every: int = CHECK_EVERY, strikes: int = STRIKES
+) -> DataFrame:
+    """Per symbol, what the checks up to ``as_of_us`` found after its last trade.
+
+    ``gaps`` judges gaps that a later trade closes; this one is still open.
+    """
+    first = F.col("last_us") + stale_after
+    first = first - F.pmod(first, F.lit(every)) + every
+    found = F.greatest(F.lit(0), F.floor((F.lit(as_of_us) - first) / every) + 1)  # a check at the very instant counts
+    last = trades.groupBy("symbol").agg(F.max(micros(F.col("ts"))).alias("last_us")).filter("last_us IS NOT NULL")
+    return last.withColumns({
+        "gap_us": F.lit(as_of_us) - F.col("last_us"),
+        "stale_checks": F.least(F.lit(strikes), found).cast("long"),
+    }).withColumns({
+        "restart": F.col("stale_checks") == strikes,
+        "restart_us": F.when(F.col("stale_checks") == strikes, first + (strikes - 1) * every),
+    })
+
+
 def sessions(trades: DataFrame, chunks: Chunks | None = None, **limits) -> DataFrame:
     """Number the feed sessions: the first trade after a restart opens a new one."""
     feed = trades.withColumn("_us", micros(F.col("ts")))
@@ -64,10 +84,15 @@ def sessions(trades: DataFrame, chunks: Chunks | None = None, **limits) -> DataF
     return running(checked, chunks, {"feed_session": ("sum", opened)}).drop("_us")
 
 
-def component_status(log: DataFrame, as_of_us: int) -> DataFrame:
-    """Status per known component from log(component, ts, is_error), and the overall state."""
+def component_status(
+    log: DataFrame, as_of_us: int, components: list[tuple[str, str, int]] | None = None
+) -> DataFrame:
+    """Status per known component from log(component, ts, is_error), and the overall state.
+
+    ``components`` are (name, name in the log, seconds until stale); the pipeline's own by default.
+    """
     known = log.sparkSession.createDataFrame(
-        [(name, source, limit) for name, source, limit in COMPONENTS],
+        [(name, source, limit) for name, source, limit in components or COMPONENTS],
         "component string, source string, stale_seconds long",
     )
     seen = log.groupBy(F.col("component").alias("source")).agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,11 +109,36 @@ def schema_differences(df: DataFrame, declared: T.StructType) -> DataFrame:
     want = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(declared.fields)}
     rows = [(n, "missing", want[n][1], None) for n in want if n not in have]
     rows += [(n, "extra", None, have[n][1]) for n in have if n not in want]
-    for name in want.keys() & have.keys():
+    # places are compared among the columns both sides have: one absent column moves no other
+    common = [n for n in want if n in have]
+    found = {n: i for i, n in enumerate(n for n in have if n in want)}
+    for place, name in enumerate(common):
         if want[name][1] != have[name][1]:
             rows.append((name, "type", want[name][1], have[name][1]))
-        elif want[name][0] != have[name][0]:
-            rows.append((name, "position", str(want[name][0]), str(have[name][0])))
+        elif place != found[name]:
+            rows.append((name, "position", str(place), str(found[name])))
     return df.sparkSession.createDataFrame(
         rows, "column string, difference string, declared string, found string"
     )
+
+
+def schema_report(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Every declared or found column: its difference if any, filled rows, and rows unreadable as declared."""
+    told = {r["column"]: r["difference"] for r in schema_differences(df, declared).collect()}  # a row per column at most
+    kinds = {f.name: f.dataType for f in declared.fields}
+    names = [*kinds, *(c for c in df.columns if c not in kinds)]
+
+    def row(name: str) -> Column:
+        if name not in df.columns:
+            filled = unreadable = F.lit(0).cast("long")
+        else:
+            cell = F.col(name)
+            broken = cell.isNotNull() & cell.try_cast(kinds.get(name, df.schema[name].dataType)).isNull()
+            filled, unreadable = F.count(cell), F.count(F.when(broken, 1))
+        return F.struct(
+            F.lit(name).alias("column"), F.lit(told.get(name)).cast("string").alias("difference"),
+            filled.alias("filled"), unreadable.alias("unreadable"),
+        )
+
+    counted = df.agg(*(row(n).alias(f"_{i}") for i, n in enumerate(names)))
+    return counted.select(F.inline(F.array(*(F.col(f"_{i}") for i in range(len(names))))))

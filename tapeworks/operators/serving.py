@@ -30,6 +30,7 @@ RECENT_TITLES = {
     "order_imbalance_ratio_1m": "Order Imbalance",
     "price_change_percent_1m": "Change %",
 }
+# Columns of the context document.
 CONTEXT_COLUMNS = [
     "window_start", "window_end", "open", "high", "low", "close", "total_volume_1m",
     "total_buy_volume_1m", "total_sell_volume_1m", "trade_count_1m", "volatility_1m",
@@ -39,13 +40,21 @@ CONTEXT_COLUMNS = [
 
 
 def timeline(bars: DataFrame, as_of_ms: int, label: str = "1 Day") -> DataFrame:
-    """Bars of the last ``label``; all of them if that span is empty.
+    """Bars of the last ``label``; of a symbol without any in that span, all it has.
 
-    The newest bar is a scalar subquery: one number, aggregated once, in the same job.
+    Symbols that fall back are found first (one row each), so live ones are only filtered.
     """
     cutoff = as_of_ms - TIMELINES[label]
-    newest = bars.agg(F.max("window_start")).scalar()
-    return bars.filter((F.col("window_start") >= cutoff) | (newest < cutoff))
+    quiet = bars.groupBy(F.col("symbol").alias("_quiet")).agg(F.max("window_start").alias("_newest")).filter(F.col("_newest") < cutoff)
+    old = bars.filter(F.col("window_start") < cutoff)
+    fallen = old.join(quiet, F.col("symbol").eqNullSafe(F.col("_quiet")), "left_semi")
+    return bars.filter(F.col("window_start") >= cutoff).unionByName(fallen)
+
+
+def without_nan(bars: DataFrame) -> DataFrame:
+    """NaN as null, which aggregates skip."""
+    figures = [name for name, kind in bars.dtypes if kind in ("double", "float")]
+    return bars.withColumns({c: F.nullif(F.col(c), F.lit(float("nan")).cast(dict(bars.dtypes)[c])) for c in figures})
 
 
 def present(bars: DataFrame, wanted: list[str] | None = None) -> DataFrame:
@@ -103,7 +112,8 @@ def moving_average(bars: DataFrame, column: str = "trade_count_1m", rows: int =
 
 
 def statistics(bars: DataFrame) -> DataFrame:
-    """One row per symbol with the summary figures of all statistics tabs."""
+    """One row per symbol with the summary figures of all statistics tabs; NaN counts as null."""
+    bars = without_nan(bars)
 
     def figures(column: str, title: str, *kinds: str) -> list[Column]:
         how = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "std": F.stddev_samp}
@@ -154,6 +164,7 @@ def regime_share(bars: DataFrame) -> DataFrame:
     return counts.withColumn("percent", F.col("bars") / whole * 100).orderBy("symbol", F.desc("bars"))
 
 
+# Figures that a summary adds up or averages.
 SUMMARY_SUMS = ["total_volume_1m", "total_buy_volume_1m", "total_sell_volume_1m", "trade_count_1m"]
 SUMMARY_MEANS = ["volatility_1m", "avg_bid_ask_spread_1m", "cvd_1m", "total_ofi_1m"]
 HOURLY_MEANS = ["volatility_1m", "avg_bid_ask_spread_1m", "order_imbalance_ratio_1m", "cvd_1m", "total_ofi_1m"]
@@ -171,8 +182,8 @@ def _first_to_last(columns: list[str]) -> dict[str, Column]:
 
 
 def window_summary(bars: DataFrame) -> DataFrame:
-    """Rows, span, first open, last close, return, extremes, sums and means per symbol."""
-    columns = bars.columns
+    """Rows, span, first open, last close, return, extremes, sums and means per symbol; NaN counts as null."""
+    bars, columns = without_nan(bars), bars.columns
     end = "window_end" if "window_end" in columns else "window_start"
     figures = {
         "window_rows": F.count(F.lit(1)),
@@ -191,8 +202,11 @@ def window_summary(bars: DataFrame) -> DataFrame:
 
 
 def hourly(bars: DataFrame, last: int | None = 30) -> DataFrame:
-    """Hour rollup per symbol, empty hours inside the range included (sums 0, the rest null)."""
-    columns = bars.columns
+    """Hour rollup per symbol, empty hours inside the range included (sums 0, the rest null).
+
+    NaN counts as null.
+    """
+    bars, columns = without_nan(bars), bars.columns
     hour = F.col("window_start") - F.pmod(F.col("window_start"), F.lit(HOUR_MS))
     sums = [c for c in SUMMARY_SUMS if c in columns]
     figures = {

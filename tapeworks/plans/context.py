@@ -48,14 +48,19 @@ def _records(table: DataFrame, order: str, name: str) -> DataFrame:
 
 def market_context(
     bars: DataFrame, timeline: str, as_of_us: int, rows_max: int = WINDOW_ROWS,
-    columns: list[str] | None = None, zone: str = EASTERN,
+    columns: list[str] | None = None, zone: str = EASTERN, sent_max: int = SENT_ROWS, hours: int = HOURS,
 ) -> DataFrame:
-    """(symbol, context): meta, latest row, summary, hour rollup and recent rows as JSON."""
+    """(symbol, context): meta, latest row, summary, hour rollup and recent rows as JSON.
+
+    ``rows_max`` bars are analysed, ``sent_max`` of them and ``hours`` hour buckets sent along;
+    one bar at least.
+    """
+    rows_max = max(1, rows_max)
     wanted = columns or present(bars).columns
-    window = settled(tail(bars.select("symbol", *wanted), max(1, rows_max)))  # four parts read it
+    window = settled(tail(bars.select("symbol", *wanted), rows_max))  # four parts read it
     now = iso_text(F.timestamp_micros(F.lit(as_of_us)), zone)
-    sent = _records(tail(window, min(SENT_ROWS, rows_max)), "window_start", "rows")
-    buckets = hourly(window, HOURS).withColumnRenamed("hour_start", "window_start")
+    sent = _records(tail(window, min(max(1, sent_max), rows_max)), "window_start", "rows")
+    buckets = hourly(window, hours).withColumnRenamed("hour_start", "window_start")
     whole = (
         _record(window_summary(window), "summary")
         .join(_record(latest(window), "latest"), "symbol", "left")

@@ -55,7 +55,7 @@ BAR_SCHEMA = _struct(
 _PAIRS = T.ArrayType(T.ArrayType(T.StringType()))
 RAW_SCHEMA = _struct(
     ("type product_id symbol ts", T.StringType()),
-    ("seq", T.LongType()),
+    ("seq sequence", T.LongType()),
     ("bids asks changes", _PAIRS),
     ("price size side last_size time volume_24h high_24h low_24h open_24h best_bid best_ask",
      T.StringType()),

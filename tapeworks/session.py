@@ -47,13 +47,29 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_settled: list[str] = []
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there from now on.
+    """``df`` written as Parquet to the shared folder and read from there from now on.
 
     For results that several later steps read: each would otherwise compute them anew, and
-    a lost executor would too.
+    a lost executor would too. Readers prune columns and know sizes; ``sweep`` deletes.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+    path = work_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    _settled.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store(spark: SparkSession, path: str):
+    """The Hadoop file system behind a path, and the path for it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the tables settled so far; for use once all results built on them are written."""
+    while _settled:
+        files, where = store(spark, _settled.pop())
+        files.delete(where, True)

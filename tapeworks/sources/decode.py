@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.operators.book import MAX_LEVELS
 from tapeworks.schemas import CORRUPT, RAW_SCHEMA
 
 
@@ -31,21 +30,55 @@ def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad)
 
 
+KINDS = ("snapshot", "l2update", "ticker", "match")
+
+
+def event_time() -> Column:
+    """Time of a message: stamped by whoever landed it, or else the exchange's own."""
+    return F.coalesce(F.col("ts").try_cast("timestamp"), F.col("time").try_cast("timestamp"))
+
+
+def reason() -> Column:
+    """Why a parsed record is set aside: unreadable, or a message without time, symbol or price; else null."""
+    priced = F.col("type").isin("ticker", "match")
+    return (
+        F.when(F.col(CORRUPT).isNotNull(), "unreadable")
+        .when(~F.coalesce(F.col("type").isin(*KINDS), F.lit(False)), None)
+        .when(event_time().isNull(), "no time")
+        .when(F.coalesce("symbol", "product_id").isNull(), "no symbol")
+        .when(priced & F.col("price").isNull(), "no price")
+    )
+
+
+def quarantine(parsed: DataFrame) -> DataFrame:
+    """The records set aside, with their ``reason``."""
+    return parsed.withColumn("reason", reason()).filter("reason IS NOT NULL")
+
+
 def quarantine_counts(parsed: DataFrame, by: str = "topic") -> DataFrame:
-    """Readable and unreadable records per topic."""
-    bad = F.col(CORRUPT).isNotNull()
+    """Records per topic that go on and that are set aside."""
+    bad = reason().isNotNull()
     return parsed.groupBy(by).agg(
         F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad")
     )
 
 
+def quarantine_reasons(parsed: DataFrame, by: str = "topic") -> DataFrame:
+    """Records set aside per topic and reason."""
+    return quarantine(parsed).groupBy(by, "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 def messages(records: DataFrame, column: str = "value") -> DataFrame:
-    """Readable messages of the mixed feed with ``ts`` as timestamp; confirmations are ignored."""
-    good, _ = split_corrupt(parse(records, RAW_SCHEMA, column))
-    return good.filter(F.col("type").isin("snapshot", "l2update", "ticker", "match")).withColumns({
-        "ts": F.col("ts").try_cast("timestamp"),
+    """Messages of the mixed feed with ``ts`` as timestamp; confirmations are ignored.
+
+    Records that ``reason`` sets aside do not come through.
+    """
+    parsed = parse(records, RAW_SCHEMA, column)
+    return parsed.filter(reason().isNull() & F.col("type").isin(*KINDS)).withColumns({
+        "ts": event_time(),
+        "seq": F.coalesce("seq", "sequence"),
         "symbol": F.coalesce("symbol", "product_id"),
-    })
+    }).drop(CORRUPT, "sequence")
 
 
 def trades(feed: DataFrame) -> DataFrame:
@@ -63,12 +96,19 @@ def tickers(feed: DataFrame) -> DataFrame:
     )
 
 
-def book_changes(feed: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
-    """One row per level of a snapshot (best ``levels``) or per change of an update."""
+def book_changes(feed: DataFrame, levels: int | None = None) -> DataFrame:
+    """One row per level of a snapshot or per change of an update.
+
+    All levels of a snapshot, or the ``levels`` best of each side.
+    """
 
     def side(name: str, label: str) -> Column:
-        return F.transform(F.slice(F.coalesce(name, F.array().cast("array<array<string>>")), 1, levels),
-                           lambda p: F.array(F.lit(label), p[0], p[1]))
+        pairs = F.coalesce(name, F.array().cast("array<array<string>>"))
+        if levels is not None:
+            sign = -1 if label == "buy" else 1
+            ranked = F.array_sort(F.transform(pairs, lambda p: F.struct((p[0].try_cast("double") * sign).alias("at"), p.alias("p"))))
+            pairs = F.transform(F.slice(ranked, 1, levels), lambda r: r["p"])
+        return F.transform(pairs, lambda p: F.array(F.lit(label), p[0], p[1]))
 
     both = F.concat(side("bids", "buy"), side("asks", "sell"))
     changed = F.when(F.col("type") == "snapshot", both).otherwise(F.col("changes"))

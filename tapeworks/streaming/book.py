@@ -23,17 +23,15 @@ def unpack(state) -> dict:
     return {"buy": {x[0]: x[1] for x in bids}, "sell": {x[0]: x[1] for x in asks}}
 
 
-def pack(sides: dict, k: int) -> tuple:
-    return tuple(
-        [(x["price"], x["size"]) for x in best_levels(sides[s], s, k)] for s in ("buy", "sell")
-    )
+def pack(sides: dict) -> tuple:
+    return tuple(sorted(sides[s].items()) for s in ("buy", "sell"))
 
 
-def fold(sides: dict, changes, k: int) -> None:
-    """Apply (kind, side, price, size) in order. A change that pushes a level out forgets it."""
+def fold(sides: dict, changes, keep: int | None) -> None:
+    """Apply (kind, side, price, size) in order. A change that pushes a level beyond ``keep`` forgets it."""
     for kind, side, price, size in changes:
         apply_change(sides, kind, side, price, size)
-        if len(sides[side]) > k:
+        if keep is not None and len(sides[side]) > keep:
             levels = sides[side]
             levels.pop(min(levels) if side == "buy" else max(levels))
 
@@ -41,8 +39,8 @@ def fold(sides: dict, changes, k: int) -> None:
 class BookKeeper(StatefulProcessor):
     """Emits the book at the end of each bucket in which it changed."""
 
-    def __init__(self, step: int, k: int):
-        self.step, self.k = step, k
+    def __init__(self, step: int, k: int, keep: int | None):
+        self.step, self.k, self.keep = step, k, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.book = handle.getValueState("book", STATE)
@@ -54,23 +52,30 @@ class BookKeeper(StatefulProcessor):
             for (us, seq, kind), message in group.groupby(["us", "seq", "kind"], sort=False):
                 if kind == "snapshot" and (us, seq) != opened:
                     opened, sides = (us, seq), {"buy": {}, "sell": {}}
-                fold(sides, zip(message["kind"], message["side"], message["price"], message["size"]), self.k)
+                fold(sides, zip(message["kind"], message["side"], message["price"], message["size"]), self.keep)
             out.append((key[0], int(bucket), best_levels(sides["buy"], "buy", self.k),
                         best_levels(sides["sell"], "sell", self.k)))
-        self.book.update(pack(sides, self.k))
+        self.book.update(pack(sides))
         yield pd.DataFrame(out, columns=["symbol", "bucket", "bids", "asks"])
 
     def close(self) -> None:
         pass
 
 
-def streaming_quotes(changes: DataFrame, step: int = SECOND, k: int = MAX_LEVELS) -> DataFrame:
-    """Best levels per symbol and bucket from a stream of book changes, in arrival order."""
+def streaming_quotes(
+    changes: DataFrame, step: int = SECOND, k: int = MAX_LEVELS, keep: int | None = MAX_LEVELS
+) -> DataFrame:
+    """Best ``k`` levels per symbol and bucket from a stream of book changes, in arrival order.
+
+    Two modes. As a feed handler does, a side forgets what a change pushes beyond its ``keep``
+    best levels. With ``keep=None`` the whole book is state, and the result is that of the
+    batch form, ``operators.book.quotes``.
+    """
     use_rocksdb(changes.sparkSession)
     part = F.col("part") if "part" in changes.columns else F.lit(0)
     slim = changes.select(
         "symbol", micros(F.col("ts")).alias("us"), "seq", part.alias("part"), "kind", "side", "price", "size"
     )
     return slim.groupBy("symbol").transformWithStateInPandas(
-        BookKeeper(step, k), OUT, outputMode="append", timeMode="none"
+        BookKeeper(step, k, keep), OUT, outputMode="append", timeMode="none"
     )

@@ -19,13 +19,15 @@ STATE = "cvd double, previous_price double"
 def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     cvd, previous = state.get if state.exists else (0.0, None)
     pdf = pd.concat(list(batches)).sort_values(["us", "seq"], kind="stable")
-    price = pdf["price"].to_numpy()
-    signed = np.where(pdf["side"] == "buy", pdf["size"], -pdf["size"])
-    totals = cvd + np.cumsum(signed)
-    before = np.append([np.nan if previous is None else previous], price[:-1])
-    state.update((float(totals[-1]), float(price[-1])))
+    price, size = pdf["price"].to_numpy(float), pdf["size"].fillna(0.0).to_numpy(float)
+    totals = cvd + np.cumsum(np.where(pdf["side"] == "buy", size, -size))
+    # a missing size moves nothing, and the price before is the last one known
+    known = pd.Series(np.append([np.nan if previous is None else previous], price)).ffill().to_numpy()
+    before, last = known[:-1], known[-1]
+    state.update((float(totals[-1]), None if np.isnan(last) else float(last)))
     yield pd.DataFrame({
-        "symbol": key[0], "us": pdf["us"].to_numpy(), "seq": pdf["seq"].to_numpy(), "price": price,
+        "symbol": key[0], "us": pdf["us"].to_numpy(), "seq": pdf["seq"].to_numpy(),
+        "price": pd.Series(price).astype(object).where(~np.isnan(price), None),
         "previous_price": pd.Series(before).astype(object).where(~np.isnan(before), None),
         "cvd": totals,
     })

@@ -120,7 +120,7 @@ class TickMaker(StatefulProcessor):
             quote = quote if brought["quote"] is None else list(brought["quote"])
             self._emit(out, samples, key, bucket, brought, cvd, impact, latest, ticker, quote, sides)
         history = self._horizons(out, samples, history)
-        self.state.update((bucket, cvd, previous, latest, ticker, quote, *pack(sides, self.k), history))
+        self.state.update((bucket, cvd, previous, latest, ticker, quote, *pack(sides), history))
         yield pd.DataFrame(out, columns=self.columns())
 
     def columns(self) -> list[str]:

@@ -108,3 +108,12 @@ def test_depth_without_levels(spark):
     none = spark.createDataFrame([], "symbol string, bucket long, side string, price double, size double")
     row = book.depth(none, mids).first()
     assert (row.depth, row.bid_depth, row.ask_depth) == (0, 0, 0)
+
+
+def test_changes_of_one_message_follow_their_place(spark):
+    rows = [(0.1, 1, "l2update", "buy", 99, 1), (0.1, 1, "l2update", "buy", 99, 0), (1.1, 2, "l2update", "sell", 101, 0), (1.1, 2, "l2update", "sell", 101, 4)]
+    for order in (F.asc("part"), F.desc("part")):
+        changes = feed(spark, rows).orderBy(order)
+        assert levels(book.books(changes, SECOND)) == {(1, "sell", 101): 4}
+        last = as_dicts(book.quotes(changes), "bucket")[-1]
+        assert (last["bids"], last["asks"]) == ([], [{"price": 101, "size": 4}])

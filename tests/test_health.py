@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import as_dicts, at, trades
+from pyspark.sql import types as T
 
 from tapeworks.functions.timecols import DAY, HOUR, SECOND
 from tapeworks.operators import health, quality
@@ -106,3 +107,26 @@ def test_backward_steps(spark):
 def test_gap_of_many_hours_counts_three_strikes(spark):
     row = as_dicts(health.gaps(feed_of(spark, [0, HOUR // SECOND * 30])), "seq")[1]
     assert (row["stale_checks"], row["restart"]) == (3, True)
+
+
+def test_a_feed_that_died_is_told(spark):
+    feed = trades(spark, [("X", 0, 0, 1.0, 1.0, "buy"), ("Y", 95, 1, 1.0, 1.0, "buy")])
+    as_of = int(at(61).timestamp() * SECOND)
+    rows = {r.symbol: r for r in health.silence(feed, as_of).collect()}
+    assert (rows["X"].stale_checks, rows["X"].restart, rows["X"].restart_us - int(at(0).timestamp()) * SECOND) == (3, True, 60 * SECOND)
+    assert rows["Y"].stale_checks == 0 and not rows["Y"].restart
+
+
+def test_components_are_an_argument(spark):
+    log = spark.createDataFrame([("mine", at(0), False)], "component string, ts timestamp, is_error boolean")
+    rows = health.component_status(log, int(at(5).timestamp() * SECOND), [("Mine", "mine", 10)]).collect()
+    assert [(r.component, r.status) for r in rows] == [("Mine", "running")]
+
+
+def test_schema_differences_name_what_differs_only(spark):
+    declared = T.StructType([T.StructField(n, T.LongType()) for n in "abcd"])
+    found = spark.createDataFrame([(1, "x", 2, 3)], "a long, c string, d long, e long")
+    rows = {r["column"]: r["difference"] for r in quality.schema_differences(found, declared).collect()}
+    assert rows == {"b": "missing", "c": "type", "e": "extra"}
+    report = {r["column"]: (r["filled"], r["unreadable"]) for r in quality.schema_report(found, declared).collect()}
+    assert report == {"a": (1, 0), "b": (0, 0), "c": (1, 1), "d": (1, 0), "e": (1, 0)}

@@ -125,3 +125,28 @@ def test_optional_columns(spark):
     table = bars(spark, [BASE])
     assert "last_ingestion_time" not in serving.present(table).columns and "cvd_1m" in serving.present(table).columns
     assert serving.present(table, ["close"]).columns == ["close"]
+
+
+def test_a_quiet_symbol_falls_back_beside_a_live_one(spark):
+    table = bars(spark, [BASE, BASE - MIN]).unionByName(bars(spark, [BASE - DAY, BASE - 2 * DAY], "Q"))
+    got = {(r.symbol, r.window_start) for r in serving.timeline(table, BASE, "5 Minutes").collect()}
+    assert got == {("X", BASE), ("X", BASE - MIN), ("Q", BASE - DAY), ("Q", BASE - 2 * DAY)}
+
+
+def test_nan_counts_as_missing(spark):
+    table = bars(spark, [BASE, BASE + MIN])
+    spoilt = table.withColumns({c: F.when(F.col("window_start") == BASE, F.lit(float("nan"))).otherwise(F.col(c)) for c in ("high", "volatility_1m")})
+    assert serving.window_summary(spoilt).first().high == 102.0
+    assert serving.hourly(spoilt).first().volatility_1m == 0.1
+    figures = {c: F.lit(1.0) for c in (
+        "avg_bid_ask_spread_1m", "avg_bid_depth_2pct_1m", "avg_ask_depth_2pct_1m", "total_ofi_1m", "avg_micro_price_deviation_1m",
+        "avg_kyles_lambda_1m", "avg_liquidity_health_1m")}
+    assert serving.statistics(spoilt.withColumns(figures)).first().price_high == 102.0
+
+
+def test_context_of_no_rows_sends_one(spark):
+    text = context.market_context(bars(spark, [BASE, BASE + MIN]), "1 Day", BASE * 1000, rows_max=0).first().context
+    meta = json.loads(text)["meta"]
+    assert (meta["rows_window"], meta["rows_sent"]) == (1, 1)
+    short = context.market_context(bars(spark, [BASE + i * HOUR for i in range(5)]), "1 Day", BASE * 1000, sent_max=2, hours=3).first().context
+    assert (len(json.loads(short)["rows"]), len(json.loads(short)["hourly"])) == (2, 3)

@@ -4,6 +4,7 @@ import time
 
 import pytest
 from helpers import UTC, as_dicts, at, trades
+from pyspark.sql import functions as F
 
 from tapeworks.operators.bars import bars
 from tapeworks.plans import batch_layer
@@ -11,6 +12,7 @@ from tapeworks.schemas import RAW_SCHEMA
 from tapeworks.session import work_folder
 from tapeworks.sources import decode, tables, topics
 from tapeworks.streaming.drain import drain
+from tapeworks.streaming.upsert import upsert_stream
 
 MIN = 60
 
@@ -61,18 +63,22 @@ def test_span_read_over_the_hour_that_repeats(spark):
 
 def test_incremental_and_newest_reads(spark):
     root, now = work_folder(spark, "t"), at(30 * MIN)
-    tables.write_bars(made(spark, [0, 1]), root)
-    tables.write_bars(made(spark, [300]), root)
-    time.sleep(1.2)
-    since = dt.datetime.now(UTC) + tables.LOOK_BACK
-    tables.write_bars(made(spark, [2, 3]), root)
-    tables.write_bars(made(spark, [400]), root)
-    assert starts(tables.read_incremental(spark, root, now, since)) == [2, 3]
-    assert starts(tables.read_incremental(spark, root, now, since - 2 * tables.LOOK_BACK)) == [0, 1, 2, 3]
-    time.sleep(1.2)
-    tables.write_bars(made(spark, [5]), root)
+
+    def write(minutes, written):
+        known = {f.path for f in tables.list_files(spark, root)}
+        tables.write_bars(made(spark, minutes), root)
+        for f in tables.list_files(spark, root):
+            if f.path not in known:
+                os.utime(f.path.removeprefix("file:"), (written.timestamp(), written.timestamp()))
+
+    write([0, 1, 300], at(-3600))
+    write([2, 3, 400], at(60))
+    assert starts(tables.read_incremental(spark, root, now, at(300))) == [2, 3]
+    assert starts(tables.read_incremental(spark, root, now, at(-3400))) == [0, 1, 2, 3]
+    write([5], at(120))
     assert starts(tables.read_newest(spark, root, 1)) == [5]
     assert len(starts(tables.read_newest(spark, root, 100))) == 7
+    assert tables.read_newest(spark, work_folder(spark, "none")).count() == 0
 
 
 def test_unreadable_files_are_skipped(spark):
@@ -81,7 +87,42 @@ def test_unreadable_files_are_skipped(spark):
     folder = os.path.join(root, folders(root)[0])
     with open(os.path.join(folder, "part-junk.parquet"), "wb") as f:
         f.write(b"not parquet at all")
-    assert starts(tables.bar_table(spark, root)) == [0, 1]
+    assert starts(tables.bar_table(spark, root, skip_damaged=True)) == [0, 1]
+    assert starts(tables.read_span(spark, root, at(0), at(10 * MIN))) == [0, 1]
+    with pytest.raises(Exception, match="parquet"):
+        tables.bar_table(spark, root).count()
+
+
+def test_a_damaged_file_fails_merges_and_compaction_and_stays(spark):
+    root = work_folder(spark, "t")
+    tables.write_bars(made(spark, [0]), root)
+    tables.write_bars(made(spark, [1]), root)
+    folder = os.path.join(root, folders(root)[0])
+    name = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))[0]
+    with open(os.path.join(folder, name), "r+b") as f:
+        f.truncate(100)
+    for rewrite in (lambda: tables.merge_bars(spark, root, made(spark, [2])), lambda: tables.compact(spark, root, at(0), at(10 * MIN))):
+        with pytest.raises(Exception):
+            rewrite()
+        assert name in os.listdir(folder) and len(starts(tables.bar_table(spark, root, skip_damaged=True))) == 1
+
+
+def test_retention_at_rest_drops_whole_hours(spark):
+    root = work_folder(spark, "t")
+    assert tables.expire(spark, root, at(0)) == 0
+    tables.write_bars(made(spark, range(0, 30 * 60, 60)), root)
+    gone = tables.expire(spark, root, at(30 * 60 * MIN), dt.timedelta(hours=10))
+    assert gone == 19 and min(starts(tables.bar_table(spark, root))) == 19 * 60
+
+
+def test_incremental_read_covers_all_hours_since_the_last_load(spark):
+    root, now = work_folder(spark, "t"), at(600 * MIN)
+    tables.write_bars(made(spark, range(0, 601, 60)), root)
+    for f in tables.list_files(spark, root):
+        os.utime(f.path.removeprefix("file:"), (now.timestamp(), now.timestamp()))
+    assert starts(tables.read_incremental(spark, root, now, now - dt.timedelta(hours=5))) == list(range(180, 601, 60))
+    assert len(starts(tables.read_incremental(spark, root, now, now - dt.timedelta(hours=5), files=3))) == 3
+    assert len(starts(tables.read_full(spark, root, now, files=2))) == 2 and len(starts(tables.read_full(spark, root, now))) == 11
 
 
 def test_merge_is_idempotent_and_touches_its_hours_only(spark):
@@ -110,6 +151,12 @@ def test_validation(spark):
     tables.write_bars(made(spark, [0]), root)
     status = {r.hour: r.status for r in tables.validate(spark, root, made(spark, [0, 60])).collect()}
     assert status == {"07": "ok", "08": "missing"}
+    folder = os.path.join(root, folders(root)[0])
+    with open(os.path.join(folder, "part-zzz.parquet"), "wb"):
+        pass
+    os.utime(os.path.join(folder, "part-zzz.parquet"), (time.time() + 60, time.time() + 60))
+    row = tables.validate(spark, root, made(spark, [0])).first()
+    assert (row.status, row.files, row.newest_size, row.rows) == ("empty", 2, 0, 1)
 
 
 def test_an_empty_span_writes_nothing(spark):
@@ -148,6 +195,11 @@ def test_quarantine(raw):
     parsed = decode.parse(raw, RAW_SCHEMA)
     row = decode.quarantine_counts(parsed).first()
     assert (row.good, row.bad) == (6, 1)
+    odd = [("t", m) for m in (
+        '{"type":"match","symbol":"X","price":"1","size":"2"}', '{"type":"match","ts":"2024-03-01T12:00:03Z","price":"1"}',
+        '{"type":"ticker","symbol":"X","ts":"never","time":"2024-03-01T12:00:03Z"}', '{"type":"l2update","symbol":"X","time":"2024-03-01T12:00:03Z"}')]
+    told = decode.quarantine_reasons(decode.parse(parsed.sparkSession.createDataFrame(odd, "topic string, value string"), RAW_SCHEMA))
+    assert {r.reason: r.records for r in told.collect()} == {"no time": 1, "no symbol": 1, "no price": 1}
     good, bad = decode.split_corrupt(parsed)
     assert good.count() == 6 and bad.count() == 1
 
@@ -159,6 +211,41 @@ def test_batch_layer(spark, raw):
         batch_layer.run(raw.limit(2), work_folder(spark, "batch"))
 
 
+def test_messages_as_the_exchange_sends_them(spark):
+    ticker = '{"type":"ticker","product_id":"X-Y","time":"2024-03-01T12:00:%02d.5Z","sequence":%d,"price":"%d","last_size":"1"}'
+    lines = [("t", ticker % (s, s, 100 + s)) for s in range(5)] + [("t", ticker.replace('"time"', '"tome"') % (1, 1, 1))]
+    raw = spark.createDataFrame(lines, "topic string, value string")
+    root = work_folder(spark, "batch")
+    assert [r.status for r in batch_layer.run(raw, root).collect()] == ["ok"]
+    bar = tables.bar_table(spark, root).first()
+    assert (bar.symbol, bar.open, bar.close, bar.num_ticks) == ("X-Y", 100, 104, 5)
+
+
+def test_ticks_without_time_belong_to_no_bar(spark):
+    feed = trades(spark, [("X", 0, 0, 1.0, 1.0, "buy")])
+    lost = feed.withColumn("ts", F.lit(None).cast("timestamp"))
+    assert [r.num_ticks for r in bars(feed.unionByName(lost)).collect()] == [1]
+
+
+def test_whole_snapshots_and_the_best_of_them(spark):
+    sides = ",".join(f'["{p}","1"]' for p in range(1, 81))
+    line = '{"type":"snapshot","symbol":"X","ts":"2024-03-01T12:00:00Z","seq":1,"bids":[%s],"asks":[%s]}' % (sides, sides)
+    feed = decode.messages(spark.createDataFrame([(line,)], "value string"))
+    assert decode.book_changes(feed).count() == 160
+    best = [(r.side, r.price) for r in decode.book_changes(feed, 50).collect()]
+    assert sorted(p for s, p in best if s == "buy") == list(range(31, 81)) and sorted(p for s, p in best if s == "sell") == list(range(1, 51))
+
+
+def test_streaming_upsert_with_retention(spark, tmp_path):
+    for i, minutes in enumerate(([0, 60], [60, 120], [40 * 60])):
+        made(spark, minutes, price=100.0 + i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)
+    stream = spark.readStream.schema(made(spark, []).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    upsert_stream(stream, str(tmp_path / "t"), str(tmp_path / "c"), dt.timedelta(hours=38), available_now=True).awaitTermination()
+    rows = as_dicts(tables.bar_table(spark, str(tmp_path / "t")), "window_start")
+    assert [r["close"] for r in rows] == [101, 101, 102]
+
+
 def test_topic_of_files(spark, raw, tmp_path):
     topics.publish(made(spark, [0, 1]), format="text", path=str(tmp_path / "bars"))
     stream = topics.read_topic(spark, format="text", path=str(tmp_path / "bars"))
