@@ -42,7 +42,8 @@ sides AS (SELECT symbol, bucket, count(*) FILTER (side = 'buy') AS n_bids, count
                  sum(size) AS total FROM books GROUP BY 1, 2)
 SELECT symbol, bucket, coalesce(n_bids, 0) AS n_bids, coalesce(n_asks, 0) AS n_asks, best_bid, best_ask,
        round(coalesce(total, 0) + 1.3e-9, 6) + 0.0 AS total_size
-FROM seen LEFT JOIN sides USING (symbol, bucket)""")
+FROM seen LEFT JOIN sides USING (symbol, bucket)
+QUALIFY bucket < max(bucket) OVER (PARTITION BY symbol)""")
 def t02(spark, folder):
     rows, _ = drain(book.streaming_quotes(V.as_changes(feed(spark, folder)), DAY))
 

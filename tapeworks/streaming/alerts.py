@@ -91,10 +91,16 @@ def stale_checks(
     )
 
 
-def streaming_cooldown(alerts: DataFrame, period: int = COOLDOWN) -> DataFrame:
-    """Alerts(alert_key, ts, seq) that get through: none within ``period`` of the last one sent."""
+def streaming_cooldown(alerts: DataFrame, period: int = COOLDOWN, lateness: str = "10 minutes") -> DataFrame:
+    """Alerts(alert_key, ts, seq) that get through: none within ``period`` of the last one sent.
+
+    A key is forgotten once the watermark has passed its silence: nothing would be held back.
+    """
 
     def pick(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         pdf = pd.concat(list(batches)).sort_values(["us", "seq"], kind="stable")
         sent = []
@@ -104,11 +110,12 @@ def streaming_cooldown(alerts: DataFrame, period: int = COOLDOWN) -> DataFrame:
                 sent.append(at)
         if last is not None:
             state.update((int(last),))
+            state.setTimeoutTimestamp(max((last + period) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         yield pdf.iloc[sent].assign(alert_key=key[0])[["alert_key", "us", "seq"]]
 
-    slim = alerts.select("alert_key", micros(F.col("ts")).alias("us"), "seq")
+    slim = alerts.withWatermark("ts", lateness).select("alert_key", "ts", micros(F.col("ts")).alias("us"), "seq")
     return slim.groupBy("alert_key").applyInPandasWithState(
-        pick, "alert_key string, us long, seq long", "last long", "append", GroupStateTimeout.NoTimeout
+        pick, "alert_key string, us long, seq long", "last long", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

@@ -13,7 +13,8 @@ from tapeworks.functions.timecols import SECOND, micros
 from tapeworks.operators.book import LEVELS, MAX_LEVELS, apply_change, best_levels
 from tapeworks.streaming.drain import use_rocksdb
 
-STATE = f"bids {LEVELS}, asks {LEVELS}"
+# Besides the levels: the bucket still open, and the last snapshot begun.
+STATE = f"bids {LEVELS}, asks {LEVELS}, bucket long, opened_us long, opened_seq long"
 OUT = f"symbol string, bucket long, bids {LEVELS}, asks {LEVELS}"
 
 
@@ -37,7 +38,7 @@ def fold(sides: dict, changes, keep: int | None) -> None:
 
 
 class BookKeeper(StatefulProcessor):
-    """Emits the book at the end of each bucket in which it changed."""
+    """Emits the book of each bucket in which it changed, once, when a change of a later bucket comes."""
 
     def __init__(self, step: int, k: int, keep: int | None):
         self.step, self.k, self.keep = step, k, keep
@@ -47,15 +48,19 @@ class BookKeeper(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values(["us", "seq", "part"], kind="stable")
-        sides, out, opened = unpack(self.book.get()), [], None
-        for bucket, group in pdf.groupby(pdf["us"] - pdf["us"] % self.step, sort=True):
-            for (us, seq, kind), message in group.groupby(["us", "seq", "kind"], sort=False):
-                if kind == "snapshot" and (us, seq) != opened:
-                    opened, sides = (us, seq), {"buy": {}, "sell": {}}
-                fold(sides, zip(message["kind"], message["side"], message["price"], message["size"]), self.keep)
-            out.append((key[0], int(bucket), best_levels(sides["buy"], "buy", self.k),
-                        best_levels(sides["sell"], "sell", self.k)))
-        self.book.update(pack(sides))
+        bids, asks, current, *opened = self.book.get() or ([], [], None, None, None)
+        sides, opened, out = unpack((bids, asks)), tuple(opened), []
+        for (us, seq, kind), message in pdf.groupby(["us", "seq", "kind"], sort=False):
+            us, seq = int(us), int(seq)
+            bucket = us - us % self.step
+            if current is not None and bucket > current:
+                out.append((key[0], current, best_levels(sides["buy"], "buy", self.k),
+                            best_levels(sides["sell"], "sell", self.k)))
+            current = bucket if current is None else max(current, bucket)
+            if kind == "snapshot" and (us, seq) != opened:
+                opened, sides = (us, seq), {"buy": {}, "sell": {}}
+            fold(sides, zip(message["kind"], message["side"], message["price"], message["size"]), self.keep)
+        self.book.update((*pack(sides), current, *opened))
         yield pd.DataFrame(out, columns=["symbol", "bucket", "bids", "asks"])
 
     def close(self) -> None:
@@ -67,6 +72,8 @@ def streaming_quotes(
 ) -> DataFrame:
     """Best ``k`` levels per symbol and bucket from a stream of book changes, in arrival order.
 
+    A bucket comes out when it closes, so the last one of a symbol is still open.
+
     Two modes. As a feed handler does, a side forgets what a change pushes beyond its ``keep``
     best levels. With ``keep=None`` the whole book is state, and the result is that of the
     batch form, ``operators.book.quotes``.

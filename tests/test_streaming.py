@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -58,12 +59,27 @@ def test_streaming_book_equals_batch_book_below_the_limit(spark):
     data = [("X", at(t), q, i, k, s, float(p), float(z)) for i, (t, q, k, s, p, z) in enumerate(random_changes())]
     df = spark.createDataFrame(data, SCHEMA)
     rows, _ = drain(SK.streaming_quotes(stream_of(spark, df), MINUTE))
-    final = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    once = rows.join(final.filter("n = 1"), "bucket")  # a bucket cut by a batch border reports twice
-    want = {r["bucket"]: r for r in as_dicts(book.quotes(df, MINUTE), "bucket")}
-    assert once.count() > 20
-    for r in as_dicts(once, "bucket"):
-        assert (r["bids"], r["asks"]) == (want[r["bucket"]]["bids"], want[r["bucket"]]["asks"])
+    got, want = as_dicts(rows, "bucket"), as_dicts(book.quotes(df, MINUTE), "bucket")
+    assert len(got) > 20
+    assert [(r["bucket"], r["bids"], r["asks"]) for r in got] == [(r["bucket"], r["bids"], r["asks"]) for r in want[:-1]]  # the last is open
+
+
+def test_whole_books_equal_the_batch_form_above_the_limit(spark):
+    from test_book import SCHEMA
+    rnd, data, seq = random.Random(7), [], 0
+    while len(data) < 900:
+        seq += 1
+        kind = "snapshot" if rnd.random() < 0.01 else "l2update"
+        for part in range(rnd.randint(1, 4) if kind == "l2update" else 120):
+            side = rnd.choice(["buy", "sell"])
+            price = rnd.randint(1, 90) + (100 if side == "sell" else 0)
+            data.append(("X", at(seq * 7.3), seq, part, kind, side, float(price), float(rnd.choice([0, 1, 2, 3]) if kind == "l2update" else 1)))
+    df = spark.createDataFrame(data, SCHEMA)
+    want = as_dicts(book.quotes(df, MINUTE, k=200), "bucket")
+    assert max(len(r["bids"]) for r in want) > 50
+    rows, _ = drain(SK.streaming_quotes(stream_of(spark, df, files=4), MINUTE, k=200, keep=None))
+    got = as_dicts(rows, "bucket")
+    assert [(r["bucket"], r["bids"], r["asks"]) for r in got] == [(r["bucket"], r["bids"], r["asks"]) for r in want[:-1]]
 
 
 def test_streaming_book_forgets_levels_beyond_the_limit(spark):
@@ -71,9 +87,21 @@ def test_streaming_book_forgets_levels_beyond_the_limit(spark):
     steps = [("buy", 10, 1), ("buy", 11, 1), ("buy", 12, 1), ("buy", 12, 0), ("buy", 11, 0)]
     data = [("X", at(i), i, 0, "l2update", s, float(p), float(z)) for i, (s, p, z) in enumerate(steps)]
     df = spark.createDataFrame(data, SCHEMA)
-    rows, _ = drain(SK.streaming_quotes(stream_of(spark, df, files=2), SECOND, k=2))
+    rows, _ = drain(SK.streaming_quotes(stream_of(spark, df, files=2), SECOND, k=2, keep=2))
     books = [[x["price"] for x in r["bids"]] for r in as_dicts(rows, "bucket")]
-    assert books == [[10], [11, 10], [12, 11], [11], []]  # 10 was pushed out and stays out
+    assert books == [[10], [11, 10], [12, 11], [11]]  # 10 was pushed out and stays out; the last second is open
+
+
+def test_a_missing_size_moves_nothing(spark):
+    feed = trades(spark, [("X", i, i, p, z, "buy") for i, (p, z) in enumerate([(1.0, 1.0), (None, None), (3.0, 2.0), (4.0, None)])])
+    rows = as_dicts(drain(SS.streaming_trades(stream_of(spark, feed, files=2)))[0], "seq")
+    assert [r["cvd"] for r in rows] == [1, 1, 3, 3] and [r["previous_price"] for r in rows] == [None, 1, 1, 3]
+
+
+def test_cooldown_keys_are_forgotten(spark):
+    feed = spark.createDataFrame([(f"k{t % 50}", at(t * 60), t) for t in range(300)], "alert_key string, ts timestamp, seq long")
+    rows, query = drain(A.streaming_cooldown(stream_of(spark, feed, files=6), lateness="0 seconds"))
+    assert rows.count() == 300 and query.recentProgress[-1].stateOperators[0].numRowsTotal < 50
 
 
 def test_running_state_survives_batches(spark):
