@@ -219,4 +219,60 @@ def keep_good(
 
 
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
+    told = quality(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
+    return told.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
+
+
+def _sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def inside(chars: str) -> str:
+        return "".join(f"\\x{ord(c):02X}" for c in chars)
+
+    strip = ".,;:?!'\"()-"
+    listed = [f"[{inside(chars)}]" for _, chars in CLASSES]
+    known = "".join(inside(chars) for _, chars in CLASSES)
+    rest = "".join(f"\\x{p:02X}" for p in range(0x21, 0x7F) if not any(chr(p) in chars for _, chars in CLASSES))
+    accented = "".join(chr(p) for p in range(0x80, LATIN_END) if chr(p).isalpha())
+    classes = [*listed, f"[{rest}]", f"[{accented}]", f"[^{known}{rest}{accented}]"]
+    counts = ", ".join(f"length(t) - length(regexp_replace(t, '{c}', '', 'g'))" for c in classes)
+    langs = ", ".join(map(quoted, COMMON_WORDS))
+    words = ", ".join(map(quoted, WORDS))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def nearest(name: str) -> str:
+        """Least distance per row between its histogram and those of the languages."""
+        return f"""
+{name}_l AS (SELECT lang, bin, sum(c) AS c FROM {name} JOIN d USING (r) WHERE lang IN ({langs}) GROUP BY ALL),
+{name}_q AS (SELECT lang, bin, c / greatest(sum(c) OVER (PARTITION BY lang), 1) AS q FROM {name}_l),
+{name}_p AS (SELECT r, bin, c / greatest(sum(c) OVER (PARTITION BY r), 1) AS p FROM {name}),
+{name}_j AS (SELECT r, lang, (sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END)
+  + sum(CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END)) / 2 AS j FROM {name}_p JOIN {name}_q USING (bin) GROUP BY ALL),
+{name}_d AS (SELECT r, sqrt(greatest(min(j), 0)) AS {name} FROM {name}_j GROUP BY r),"""
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, string_split(t, chr(10)) AS lines FROM d),
+b AS (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) AS chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS told FROM w),
+v AS (SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS g FROM w, unnest(range(1, len(w) - {WINDOW - 2})) AS u(i) WHERE len(w) >= {WINDOW}),
+twice AS (SELECT r, i FROM v QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+cover AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, unnest(range({WINDOW})) AS u(k) GROUP BY r),
+class AS (SELECT r, unnest([{counts}]) AS c, unnest(range({N_CLASSES})) AS bin FROM d),
+word AS (SELECT r, bin, count(x) AS c FROM (SELECT r, coalesce(list_position([{words}],
+    translate(trim(x, {quoted(strip)}), '{upper}', '{lower}')), 0) AS bin, x FROM (SELECT r, unnest(w) AS x FROM w))
+  GROUP BY ALL UNION ALL SELECT r, bin, 0 FROM d, range({len(WORDS) + 1}) AS z(bin)),
+words AS (SELECT r, bin, sum(c) AS c FROM word GROUP BY ALL),{nearest('class')}{nearest('words')}
+f AS (SELECT b.*, coalesce(n, 0) AS n_repeat_words, coalesce(class, 0) AS by_class, coalesce(words, 0) AS by_word,
+  n_words < {LEAST_WORDS} OR 100 * coalesce(n, 0) > {REPEAT_PERCENT} * n_words AS base_failed
+  FROM b LEFT JOIN cover USING (r) LEFT JOIN class_d USING (r) LEFT JOIN words_d USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, len(told) - len(list_distinct(told)) AS n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (chars >= {LEAST_CHARS_JUDGED} AND by_class > {MOST_CLASS_DISTANCE})
+    AND NOT (n_words >= {LEAST_WORDS_JUDGED} AND by_word > {MOST_WORD_DISTANCE}) AS kept,
+  round(by_class, 6) AS class_distance, round(by_word, 6) AS word_distance FROM f
+"""
+
+
+OP6_SQL = _sql()
