@@ -145,12 +145,15 @@ def w7_silence(spark, folder):
     return health.silence(V.trades(spark, folder), AS_OF_US)
 
 
-@query("w8_sessions", f"""WITH {SQL_GAPS}, numbered AS (
+SQL_SESSIONS = f"""WITH {SQL_GAPS}, numbered AS (
   SELECT *, sum(restart::BIGINT) OVER (PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING)::BIGINT
     AS feed_session FROM gaps)
 SELECT seq, feed_session, round(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) OVER (
          PARTITION BY symbol, feed_session ORDER BY us, seq ROWS UNBOUNDED PRECEDING) + 1.3e-9, 6) + 0.0 AS cvd
-FROM numbered""")
+FROM numbered"""
+
+
+@query("w8_sessions", SQL_SESSIONS)
 def w8(spark, folder):
     numbered = health.sessions(V.trades(spark, folder))
     return V.rounded(flow.volume_delta(numbered, session="feed_session").select("seq", "feed_session", "cvd"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.catalog import views as V
 from tapeworks.catalog.aggregates import DOUBLES, PLAIN, hour_bars, sql_books
-from tapeworks.catalog.ordered import SQL_LAGS, SQL_SYMBOL_ALERTS, alert_sql, lag_readings, symbol_alerts
+from tapeworks.catalog.ordered import SQL_LAGS, SQL_SESSIONS, SQL_SYMBOL_ALERTS, alert_sql, lag_readings, symbol_alerts
 from tapeworks.catalog.registry import query
 from tapeworks.catalog.storage import HOUR_SPAN, NOW, stamp
 from tapeworks.functions.timecols import DAY, HOUR, MINUTE, SECOND
@@ -63,7 +63,14 @@ SELECT symbol, us, seq, price, lag(price) OVER w AS previous_price,
 FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING)""")
 def t04(spark, folder):
     rows, _ = drain(state.streaming_trades(V.as_trades(feed(spark, folder))))
-    return V.rounded(rows)
+    return V.rounded(rows.drop("feed_session"))
+
+
+@query("t04_sessions", SQL_SESSIONS)
+def t04_sessions(spark, folder):
+    """The running delta of the stream, started again with each feed session."""
+    rows, _ = drain(state.streaming_trades(V.as_trades(feed(spark, folder)), sessions=True))
+    return V.rounded(rows.select("seq", "feed_session", "cvd"))
 
 
 # every check after a message, up to the next message or, for the last one, the end of the feed

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -11,32 +12,53 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tapeworks.functions.timecols import micros
+from tapeworks.operators.health import CHECK_EVERY, STALE_AFTER, STRIKES
 
-OUT = "symbol string, us long, seq long, price double, previous_price double, cvd double"
-STATE = "cvd double, previous_price double"
+OUT = "symbol string, us long, seq long, price double, previous_price double, cvd double, feed_session long"
+STATE = "cvd double, previous_price double, last_us long, feed_session long"
 
 
-def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    cvd, previous = state.get if state.exists else (0.0, None)
+def restarts(us: np.ndarray, before: int | None) -> np.ndarray:
+    """Which trades follow a restart: the health checks in the gap before them struck out.
+
+    ``before`` is the time of the trade before the first, None if there is none.
+    """
+    earlier = np.append([us[0] if before is None else before], us[:-1])
+    first = earlier + STALE_AFTER
+    first = first - first % CHECK_EVERY + CHECK_EVERY
+    return -(-(us - first) // CHECK_EVERY) >= STRIKES
+
+
+def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState, sessions: bool) -> Iterator[pd.DataFrame]:
+    cvd, previous, last_us, session = state.get if state.exists else (0.0, None, None, 0)
     pdf = pd.concat(list(batches)).sort_values(["us", "seq"], kind="stable")
     price, size = pdf["price"].to_numpy(float), pdf["size"].fillna(0.0).to_numpy(float)
-    totals = cvd + np.cumsum(np.where(pdf["side"] == "buy", size, -size))
+    us = pdf["us"].to_numpy()
+    opens = restarts(us, last_us) if sessions else np.zeros(len(us), bool)
+    moved = np.cumsum(np.where(pdf["side"] == "buy", size, -size))
+    number = np.cumsum(opens)
+    at = np.flatnonzero(opens)  # a session starts from nothing
+    base = np.append([-cvd], np.where(at > 0, moved[at - 1], 0.0))
+    totals = moved - base[number]
     # a missing size moves nothing, and the price before is the last one known
     known = pd.Series(np.append([np.nan if previous is None else previous], price)).ffill().to_numpy()
     before, last = known[:-1], known[-1]
-    state.update((float(totals[-1]), None if np.isnan(last) else float(last)))
+    state.update((float(totals[-1]), None if np.isnan(last) else float(last), int(us[-1]), int(session + number[-1])))
     yield pd.DataFrame({
-        "symbol": key[0], "us": pdf["us"].to_numpy(), "seq": pdf["seq"].to_numpy(),
+        "symbol": key[0], "us": us, "seq": pdf["seq"].to_numpy(),
         "price": pd.Series(price).astype(object).where(~np.isnan(price), None),
         "previous_price": pd.Series(before).astype(object).where(~np.isnan(before), None),
-        "cvd": totals,
+        "cvd": totals, "feed_session": session + number,
     })
 
 
-def streaming_trades(trades: DataFrame) -> DataFrame:
+def streaming_trades(trades: DataFrame, sessions: bool = False) -> DataFrame:
     """Each trade with the price before it and the volume delta so far, in event-time order
-    within a micro-batch."""
+    within a micro-batch.
+
+    With ``sessions`` the delta starts again with each feed session, as ``health.sessions`` numbers them.
+    """
     slim = trades.select("symbol", micros(F.col("ts")).alias("us"), "seq", "price", "size", "side")
     return slim.groupBy("symbol").applyInPandasWithState(
-        _follow, OUT, STATE, "append", GroupStateTimeout.NoTimeout
+        partial(_follow, sessions=sessions), OUT, STATE, "append", GroupStateTimeout.NoTimeout
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions.timecols import HOUR, MINUTE, SECOND
 from tapeworks.operators import bars as B
-from tapeworks.operators import book, flow
+from tapeworks.operators import book, flow, health
 from tapeworks.plans import ticks as tick_plan
 from tapeworks.session import work_folder
 from tapeworks.sources import tables, topics
@@ -98,6 +98,14 @@ def test_a_missing_size_moves_nothing(spark):
     assert [r["cvd"] for r in rows] == [1, 1, 3, 3] and [r["previous_price"] for r in rows] == [None, 1, 1, 3]
 
 
+def test_stream_sessions_equal_batch_sessions(spark):
+    feed = trades(spark, [r for r in random_trades(200, span=9000) if r[3] > 0])
+    rows = as_dicts(drain(SS.streaming_trades(stream_of(spark, feed, files=3), sessions=True))[0], "seq")
+    want = as_dicts(flow.volume_delta(health.sessions(feed), session="feed_session"), "seq")
+    assert max(r["feed_session"] for r in rows) > 5
+    assert [(r["seq"], r["feed_session"], r["cvd"]) for r in rows] == [(r["seq"], r["feed_session"], pytest.approx(r["cvd"])) for r in want]
+
+
 def test_cooldown_keys_are_forgotten(spark):
     feed = spark.createDataFrame([(f"k{t % 50}", at(t * 60), t) for t in range(300)], "alert_key string, ts timestamp, seq long")
     rows, query = drain(A.streaming_cooldown(stream_of(spark, feed, files=6), lateness="0 seconds"))
