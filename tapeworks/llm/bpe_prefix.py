@@ -21,13 +21,13 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm.common import map_batches, table, texts
+from tapeworks.llm.common import keep_between_tasks, map_batches, table, texts
 from tapeworks.llm.pieces import pieces
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 ALIVE = 1 << 60  # the rank at which a whole token is merged away: never
-PAIRS_KEPT = 400_000
-PIECES_KEPT = 700_000
+PAIRS_KEPT = 300_000
+PIECES_KEPT = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -168,6 +168,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One per Python worker and vocabulary file."""
     if path not in _encoders:
+        keep_between_tasks(__name__, _encoders.clear)
         _encoders[path] = Encoder(Vocabulary(read_ranks(path)))
     return _encoders[path]
 

@@ -42,7 +42,26 @@ def map_batches(df: DataFrame, make: Callable[..., Iterator[dict]], schema: str,
     return df.mapInArrow(functools.partial(_run, make, arrow, given), fields)
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def keep_between_tasks(module: str, forget: Callable[[], None]) -> None:
+    """Tell what a module keeps in a Python worker; other modules' tasks make it ``forget`` that.
+
+    Workers serve one stage after the other, and each may need the memory that the last one filled.
+    """
+    _caches[module] = forget
+
+
+def _make_room(module: str) -> None:
+    for other, forget in _caches.items():
+        if other != module:
+            forget()
+    pa.default_memory_pool().release_unused()
+
+
 def _run(make, arrow: pa.Schema, given: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _make_room(make.__module__)
     lists = ({n: c for n, c in zip(b.schema.names, b.columns)} for b in batches if b.num_rows)
     for out in make(lists, **given):
         arrays = [_array(out[f.name], f.type) for f in arrow]

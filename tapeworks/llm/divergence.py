@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import map_batches, table, texts
+from tapeworks.llm.common import keep_between_tasks, map_batches, table, texts
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -83,6 +83,7 @@ class _CommonWords(dict):
 
 
 _common = _CommonWords()
+keep_between_tasks(__name__, _common.clear)
 
 
 def class_counts(text: str) -> np.ndarray:
