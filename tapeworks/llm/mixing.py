@@ -95,19 +95,17 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple, int], sha
         own = levels[:depth]
         below = below.withColumn("weight", _weight(own, weights))
         below = below.withColumn("most", F.when(F.col("weight") > 0, F.col("most")).otherwise(0))
-        nodes[depth] = below.select(*own, "most", "weight")
-        below = below.groupBy(*own[:-1]).agg(F.sum("most").alias("most"))
-    held = leaves.agg(F.coalesce(F.sum("held"), F.lit(0)).alias("held"))
-    wanted = below.select(F.coalesce("most", F.lit(0)).alias("most")).join(held)  # two tables of one row
-    given = wanted.select(F.least("most", F.expr(f"held * {share} div 1000")).alias("given"))
-    out = None
-    for depth in range(1, len(levels) + 1):
-        if out is None:
-            children = nodes[depth].join(given)  # one row
-        else:
-            up = out.select(*(F.col(c).alias(f"_up_{c}") for c in levels[:depth - 1]), F.col("share").alias("given"))
-            children = nodes[depth].join(up, _same(levels[:depth - 1], [f"_up_{c}" for c in levels[:depth - 1]]))
-        out = pour(children.select(*levels[:depth], "most", "weight", "given"), levels[:depth - 1], levels[depth - 1])
+        nodes[depth] = below.select(*own, "most", "weight", "held")
+        below = below.groupBy(*own[:-1]).agg(F.sum("most").alias("most"), F.sum("held").alias("held"))
+    every = W.partitionBy()  # over the nodes of the top level
+    wanted = F.expr(f"_held * {share} div 1000")
+    top = nodes[1].withColumn("_held", F.sum("held").over(every)).withColumn("_most", F.sum("most").over(every))
+    out = pour(top.withColumn("given", F.least("_most", wanted)).select(levels[0], "most", "weight", "given"), [], levels[0])
+    for depth in range(2, len(levels) + 1):
+        over, own = levels[:depth - 1], levels[depth - 1]
+        up = out.select(*(F.col(c).alias(f"_up_{c}") for c in over), F.col("share").alias("given"))
+        children = nodes[depth].join(up, _same(over, [f"_up_{c}" for c in over]))
+        out = pour(children.select(*over, own, "most", "weight", "given"), over, own)
     return out.select(*levels, "share")
 
 
