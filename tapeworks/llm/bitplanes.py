@@ -20,6 +20,7 @@ import json
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import map_batches, settle, table, texts
+from tapeworks.llm.common import keep_between_tasks, map_batches, settle, table, texts
 from tapeworks.llm.files import create, new_name, open_file
 from tapeworks.llm.pieces import is_latin, pieces
 from tapeworks.session import work_folder
@@ -40,7 +41,8 @@ END_ID = 0
 MAGIC = b"TWPLANE1"
 BLOCK_IDS = 65_536
 FILE_IDS = 64 << 20
-PIECES_KEPT = 700_000
+PIECES_KEPT = 400_000
+LATIN_END = 0x250
 
 
 def split_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -148,28 +150,37 @@ class PlaneReader:
 
 
 class Encoder(dict):
-    """Whole texts by the tokenizers library; texts within the Latin blocks piece by piece, and pieces are kept."""
+    """Piece -> its ids, packed; by the library's model, and kept, as words return often.
+
+    Texts within the Latin blocks are split here; others go through the library whole.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a text that spells a control string is still text
-
-    def encode_batch(self, batch: list[str]) -> list[np.ndarray]:
-        split = [pieces(x) if is_latin(x) else None for x in batch]
-        if len(self) > PIECES_KEPT:
-            self.clear()
-        new = list({p for own in split if own for p in own if p not in self})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[p] = np.array(e.ids, "<u4").tobytes()
-        return [
-            np.frombuffer(b"".join(map(self.__getitem__, own)), "<u4") if own is not None
-            else np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4")
-            for x, own in zip(batch, split)
-        ]
+        self.model = self.tokenizer.model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {}  # byte -> the letter that the vocabulary writes it with
+        for point in (*range(LATIN_END), *range(0x2010, 0x205F)):
+            self.letters.update(zip(chr(point).encode(), spell(chr(point))[0][0]))
+
+    def __missing__(self, piece: str) -> bytes:
+        spelt = piece.encode().decode("latin-1").translate(self.letters)
+        packed = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        if len(piece) <= 64:
+            if len(self) >= PIECES_KEPT:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+    def encode(self, text: str) -> np.ndarray:
+        if is_latin(text):
+            return np.frombuffer(b"".join(map(self.__getitem__, pieces(text))), "<u4")
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -177,6 +188,7 @@ _encoders: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
+        keep_between_tasks(__name__, _encoders.clear)
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
@@ -193,11 +205,11 @@ def _write(batches: Iterator[dict], path: str, folder: str, end_id: int, kind: s
 
     end = np.array([end_id], "<u4")
     for batch in batches:
-        for name, ids in zip(batch["_id"].to_pylist(), own.encode_batch(texts(batch["_text"]))):
+        for name, text in zip(batch["_id"].to_pylist(), texts(batch["_text"])):
             if writer is None:
                 uri, stream = create(folder, new_name(partition, number, ".planes"))
                 writer = PlaneWriter(stream, kind, block)
-            writer.add(name, np.concatenate([ids, end]))
+            writer.add(name, np.concatenate([own.encode(text), end]))
             if writer.n_ids >= most:
                 yield done()
                 writer, number = None, number + 1
