@@ -34,8 +34,8 @@ GATE = (
     "unencumbered", "wtfpl",
 )
 
-# Phrases whose places are counted: (label, words).
-BASE = (("mit", "mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
+# Phrases whose places are counted: (label, keyword, words).
+BASE = (("mit", "mit", "under the mit license"), ("apache-2", "apache", "apache license version 2"), ("cc-by-nc", "cc", "cc by nc"))
 
 GRANT = r"(?:licen[sc]ed|released|distributed|available|published|provided|covered|offered) (?:to you )?(?:under|by) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
 
@@ -433,7 +433,7 @@ RULES_TEXT = r"""
 
 def read_rules(text: str = RULES_TEXT) -> tuple[Rule, ...]:
     """Base phrases first, then the rules in the order of the text."""
-    rules = [Rule(i, label, 3, phrase.split()[0], phrase, True) for i, (label, phrase) in enumerate(BASE)]
+    rules = [Rule(i, label, 3, keyword, phrase, True) for i, (label, keyword, phrase) in enumerate(BASE)]
     label = ""
     for line in filter(None, map(str.strip, text.splitlines())):
         if line.startswith("["):

@@ -286,6 +286,28 @@ def test_licences_equal_brute_force(spark):
     assert got == sorted(((i, *plain_report(t)) for i, t in rows), key=str)
     assert licenses.license_report(df.filter("false")).count() == 0
 
+PHRASES = {"mit": ["under", "the", "mit", "license"], "apache-2": ["apache", "license", "version", "2"], "cc-by-nc": ["cc", "by", "nc"]}
+
+
+def base_places(text):
+    words = re.findall("[0-9a-z\x80-\U0010ffff]+", (text or "").translate(str.maketrans(licenses.UPPER, licenses.LOWER)))
+    return sorted((i, label) for label, phrase in PHRASES.items() for i in range(len(words)) if words[i:i + len(phrase)] == phrase)
+
+
+def test_base_columns_are_of_the_three_phrases_written_out(spark):
+    rnd = random.Random(4)
+    given = ["under the MIT License", "MIT License", "Licensed under the MIT License.", "under the mit licence", "under a MIT license", "under the the MIT license"]
+    rows = [(i, t) for i, t in enumerate([*given, "under the MIT License " * 500])]
+    rows += [(100 + i, " ".join(rnd.choice([*BITS, *given, "under", "the"]) for _ in range(rnd.randint(0, 25)))) for i in range(200)]
+    rows += [(10_000 + i, t) for i, t in duck(FOLDER).execute("SELECT doc_id, text FROM documents").fetchall()]
+    got = {r.doc_id: r for r in licenses.license_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        places = base_places(t)
+        starts, labels = [s for s, _ in places], ",".join(sorted({x for _, x in places}))
+        assert (got[i].n_base, got[i].first_word, got[i].last_word, got[i].base_labels) == (len(places), min(starts, default=None), max(starts, default=None), labels), t
+    assert [(got[i].n_base, got[i].first_word, got[i].labels, got[i].score) for i in range(3)] == [(1, 0, "mit", 0.6), (0, None, "mit", 0.6), (1, 1, "mit", 0.9)]
+
+
 
 def test_there_are_hundreds_of_rules_and_a_text_full_of_one(spark):
     assert len(license_rules.RULES) > 250
