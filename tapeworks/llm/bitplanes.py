@@ -152,7 +152,8 @@ class PlaneReader:
 class Encoder(dict):
     """Piece -> its ids, packed; by the library's model, and kept, as words return often.
 
-    Texts within the Latin blocks are split here; others go through the library whole.
+    Texts within the Latin blocks are split here; others, and texts that spell an added token, go through the
+    library whole.
     """
 
     def __init__(self, path: str):
@@ -161,7 +162,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a text that spells a control string is still text
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model = self.tokenizer.model
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.letters = {}  # byte -> the letter that the vocabulary writes it with
@@ -178,7 +179,7 @@ class Encoder(dict):
         return packed
 
     def encode(self, text: str) -> np.ndarray:
-        if is_latin(text):
+        if is_latin(text) and not any(token in text for token in self.added):
             return np.frombuffer(b"".join(map(self.__getitem__, pieces(text))), "<u4")
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 

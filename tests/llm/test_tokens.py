@@ -115,6 +115,26 @@ def test_plane_files_of_odd_rows(spark, kind, most):
         whole = np.concatenate([p for _, _, parts in reader.documents() for p in parts])
         assert (reader.ids(1, len(whole) - 1) == whole[1:]).all()
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "漢<|endoftext|>字 x", "  <|endoftext|>\n", "<|endoftext|", "<|ENDOFTEXT|>", "plain", "é" * 50 + "<|endoftext|>"]
+
+
+def test_added_tokens_are_one_id_as_in_the_unaltered_library(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(bitplanes.VOCABULARY)
+    library, own = Tokenizer.from_file(path), bitplanes.encoder(path)
+    for text in [*ADDED, *random_texts(500, 6)]:
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert own.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    manifest = bitplanes.write_planes(rows(spark, list(enumerate(ADDED))), work_folder(spark, "t"), path)
+    want, start = [], 0
+    for i, text in enumerate(ADDED):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, bitplanes.END_ID], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in bitplanes.read_report(manifest).collect()) == want
+
+
 
 def test_planes_of_an_empty_table(spark):
     manifest = bitplanes.write_planes(rows(spark, []), work_folder(spark, "t"), public_tokenizers.path(bitplanes.VOCABULARY))
