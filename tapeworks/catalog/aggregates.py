@@ -145,8 +145,8 @@ SQL_MIDS = f""",
 mids AS (SELECT symbol, us - us % {DAY} AS bucket, avg(least(value, 40)) + 95 AS mid FROM feed GROUP BY 1, 2)"""
 
 
-def mids(spark, folder):
-    shown = flow.bucketed(V.events_feed(spark, folder), DAY)
+def mids(spark, folder, every=DAY):
+    shown = flow.bucketed(V.events_feed(spark, folder), every)
     mid = F.avg(F.least(F.col("value"), F.lit(40.0))) + 95
     return shown.groupBy("symbol", "bucket").agg(mid.alias("mid"))
 

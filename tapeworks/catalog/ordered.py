@@ -31,12 +31,16 @@ SELECT symbol, bucket, round(coalesce(volume, 0) + 1.3e-9, 6) + 0.0 AS volume, c
        round(last_value(price IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY bucket) + 1.3e-9, 6) + 0.0 AS price
 FROM grid LEFT JOIN made USING (symbol, bucket)""")
 def j2(spark, folder):
+    return grid_by(spark, folder, MINUTE)
+
+
+def grid_by(spark, folder, step):
     trades = V.trades(spark, folder)
-    made = flow.bucketed(trades, MINUTE).groupBy("symbol", "bucket").agg(
+    made = flow.bucketed(trades, step).groupBy("symbol", "bucket").agg(
         F.sum("size").alias("volume"), F.count(F.lit(1)).alias("trade_count"),
         F.max_by("price", F.struct("ts", "seq")).alias("price"),
     )
-    return V.rounded(align.on_grid(trades, made, MINUTE, ["volume", "trade_count"], ["price"]))
+    return V.rounded(align.on_grid(trades, made, step, ["volume", "trade_count"], ["price"]))
 
 
 def _horizon_sql() -> str:

@@ -45,7 +45,11 @@ SELECT symbol, bucket, coalesce(n_bids, 0) AS n_bids, coalesce(n_asks, 0) AS n_a
 FROM seen LEFT JOIN sides USING (symbol, bucket)
 QUALIFY bucket < max(bucket) OVER (PARTITION BY symbol)""")
 def t02(spark, folder):
-    rows, _ = drain(book.streaming_quotes(V.as_changes(feed(spark, folder)), DAY))
+    return book_by(spark, folder, DAY)
+
+
+def book_by(spark, folder, step):
+    rows, _ = drain(book.streaming_quotes(V.as_changes(feed(spark, folder)), step))
 
     def total(side):
         return F.aggregate(side, F.lit(0.0), lambda t, x: t + x["size"])
