@@ -88,7 +88,6 @@ def plain_ids(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(bitplanes.VOCABULARY))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, bitplanes.END_ID]
 
 
