@@ -6,12 +6,9 @@ that agree in a band are candidates, and every link is decided on the full shing
 
 1. One pass over the texts: size and digest of the shingle set, and the band keys. Equal sets collapse to one
    representative (smallest id), so groups of copies cost one row.
-2. Families: representatives connected by shared bands. Only these numbers are shuffled, not texts.
-3. A family of bounded size goes to one task, which tests all its pairs at once. In larger families the
-   members of each band key are cut into blocks of bounded size, and every pair of blocks is a task of its
-   own; two documents are compared where they first meet. Tasks return links that span the same groups, at
-   most one per document, never pairs. No bucket, family or partner is capped.
-4. Links are joined to components by contraction, with all tables in the shared folder.
+2. Documents that agree in a band are a list of candidates. ``linking`` finds the links that connect each group:
+   small families at once, larger ones by leaders first, so that a group of near copies of any size ships each
+   text a bounded number of times. No bucket, family or partner is capped.
 
 Bands are chosen so that a pair at the threshold is missed with a probability under 1e-8.
 
@@ -26,19 +23,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import map_batches, settle, table, utf8
-from tapeworks.llm.components import components
+from tapeworks.llm.linking import FOLD, linked, mix64, shingle_set
 
 COORDINATES = 160
 MISS = 1e-8
-GROUP_DOCS = 512  # of a family or block
-GROUP_SHINGLES = 2_000_000
-CELLS = 4096  # columns of the comparison matrix held at once
-_FOLD = np.random.default_rng(7).integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 
 
 def rows_per_band(percent: int, coordinates: int = COORDINATES) -> int:
@@ -48,12 +40,6 @@ def rows_per_band(percent: int, coordinates: int = COORDINATES) -> int:
     return max(fitting, default=1)
 
 
-def _mix64(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _permute(x: np.ndarray) -> np.ndarray:
     """A permutation of the 32-bit integers, in place."""
     x ^= x >> np.uint32(16)
@@ -64,20 +50,6 @@ def _permute(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingle_set(raw: bytes, words: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; A-Z lower-cased, split at ASCII white space."""
-    told = raw.lower().split()
-    if not told:
-        return np.empty(0, np.uint64)
-    own = np.fromiter(map(xxhash.xxh3_64_intdigest, told), np.uint64, len(told))
-    width = min(words, len(own))
-    mixed = np.full(len(own) - width + 1, width, np.uint64)
-    for i in range(width):
-        mixed += own[i:i + len(mixed)] * _FOLD[i]
-        mixed = _mix64(mixed)
-    return np.unique(mixed)
-
-
 def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """Coordinate k is the least second-permutation value of the scattered shingles, shifted by k."""
     scattered = _permute((shingles ^ (shingles >> np.uint64(32))).astype(np.uint32))
@@ -94,7 +66,7 @@ def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
     cut = values[:bands * rows].reshape(bands, rows).astype(np.uint64)
     key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
     for i in range(rows):
-        key = _mix64(key * _FOLD[i] + cut[:, i])
+        key = mix64(key * FOLD[i] + cut[:, i])
     return key.view(np.int64)
 
 
@@ -109,77 +81,6 @@ def _sketch(batches: Iterator[dict], words: int, rows: int) -> Iterator[dict]:
         yield {"_id": batch["_id"], "_n": sizes, "_digest": digests, "_bands": bands}
 
 
-def similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Matrix of the pairs with 100 * intersection >= percent * union."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    shared = counts[place] > 1  # what one document has alone adds to no intersection
-    column = (np.cumsum(counts > 1) - 1)[place[shared]]
-    owner = owner[shared]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, CELLS):
-        a, b = np.searchsorted(column, [low, low + CELLS])
-        cells = np.zeros((len(sets), CELLS), np.float32)
-        cells[owner[a:b], column[a:b] - low] = 1
-        both += cells @ cells.T
-    common = both.astype(np.int64)
-    return 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-
-
-def groups_of(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric matrix of links, the first row of its component."""
-    label = np.arange(len(linked))
-    linked = linked | np.eye(len(linked), dtype=bool)
-    while True:
-        least = np.where(linked, label[None, :], len(linked)).min(axis=1)
-        least = least[least]
-        if (least == label).all():
-            return label
-        label = least
-
-
-def _by_group(batches: Iterator[dict], columns: list[str], key: str) -> Iterator[tuple[object, list[tuple]]]:
-    """Runs of equal keys in sorted rows, over batch borders."""
-    current, rows = None, []
-    for batch in batches:
-        for k, *row in zip(batch[key].to_pylist(), *(batch[c].to_pylist() for c in columns)):
-            if k != current:
-                if rows:
-                    yield current, rows
-                current, rows = k, []
-            rows.append(row)
-    if rows:
-        yield current, rows
-
-
-def _settle_families(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]:
-    for _, rows in _by_group(batches, ["_rep", "_text"], "_family"):
-        ids = np.array([r[0] for r in rows])
-        label = groups_of(similar([shingle_set((r[1] or "").encode(), words) for r in rows], percent))
-        least = np.full(len(ids), np.iinfo(np.int64).max)
-        np.minimum.at(least, label, ids)
-        yield {"_a": ids, "_b": least[label]}
-
-
-def _link_blocks(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]:
-    for (band, _, low, high), rows in _by_group(batches, ["_rep", "_bands", "_block", "_text"], "_task"):
-        ids, blocks = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
-        bands = np.array([r[1] for r in rows], np.int64)
-        new = np.ones((len(ids), len(ids)), bool) if low == high else blocks[:, None] != blocks[None, :]
-        for earlier in range(band):
-            new &= bands[:, None, earlier] != bands[None, :, earlier]
-        if not new.any():
-            continue
-        linked = similar([shingle_set((r[3] or "").encode(), words) for r in rows], percent) & new
-        label = groups_of(linked)
-        own = label != np.arange(len(ids))
-        if own.any():
-            yield {"_a": ids[own], "_b": ids[label[own]]}
-
-
 def sketches(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     narrow = docs.select(docs[id_col].cast("bigint").alias("_id"), docs[text_col].alias("_text"))
     return settle(map_batches(
@@ -187,42 +88,6 @@ def sketches(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     ), "sketches")
 
 
-def _links(
-    texts: DataFrame, members: DataFrame, reps: DataFrame, families: DataFrame, words: int, percent: int,
-) -> DataFrame:
-    """(_a, _b): links that connect each group of near-duplicates. ``members``: (_band, _key, _rep, _n)."""
-    sizes = families.groupBy("_family").agg(F.count("*").alias("_docs"), F.sum("_n").alias("_shingles"))
-    small = (F.col("_docs") <= GROUP_DOCS) & (F.col("_shingles") <= GROUP_SHINGLES)
-    placed = settle(families.join(sizes, "_family").withColumn("_small", small), "families")
-    own = settle(
-        texts.join(placed.select("_rep", "_family", "_small").hint("shuffle_hash"), texts["_id"] == placed["_rep"])
-        .select("_rep", "_family", "_small", "_text"), "family-texts",
-    )
-    spark = texts.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    whole = own.filter("_small").select("_family", "_rep", "_text").repartition(tasks, "_family").sortWithinPartitions("_family")
-    inner = map_batches(whole, _settle_families, "_a bigint, _b bigint", words=words, percent=percent)
-
-    wide = members.join(placed.filter("NOT _small").select(F.col("_rep").alias("_large")), F.col("_rep") == F.col("_large"), "left_semi")
-    wide = wide.join(reps.select(F.col("_rep").alias("_r"), "_bands"), F.col("_rep") == F.col("_r"))
-    parts = wide.groupBy("_band", "_key").agg(F.greatest(
-        F.ceil(F.count("*") / GROUP_DOCS), F.ceil(F.sum("_n") / GROUP_SHINGLES)
-    ).cast("int").alias("_parts"))
-    cut = (
-        wide.join(parts, ["_band", "_key"])
-        .withColumn("_block", F.pmod(F.xxhash64("_rep"), F.col("_parts")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .select("_rep", "_bands", "_block", F.struct("_band", "_key", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high")).alias("_task"))
-    )
-    dealt = (
-        cut.join(own.filter("NOT _small").select(F.col("_rep").alias("_own"), "_text"), F.col("_rep") == F.col("_own"))
-        .select("_task", "_rep", "_bands", "_block", "_text").repartition(tasks, "_task").sortWithinPartitions("_task")
-    )
-    task_rows = dealt.withColumn("_task", F.array(F.col("_task._band").cast("bigint"), F.col("_task._key"), F.col("_task._low").cast("bigint"), F.col("_task._high").cast("bigint")))
-    across = map_batches(task_rows, _link_blocks, "_a bigint, _b bigint", words=words, percent=percent)
-    return inner.filter("_a != _b").unionByName(across)
-
-
 def near_groups(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -234,15 +99,11 @@ def near_groups(
         "classes",
     )
     reps = classes.filter("_rep IS NOT NULL")
-    bands = reps.select("_rep", "_n", F.posexplode("_bands").alias("_band", "_key"))
-    met = bands.groupBy("_band", "_key").agg(F.min("_rep").alias("_hub"), F.count("*").alias("_met")).filter("_met > 1")
-    members = settle(bands.join(met.select("_band", "_key", "_hub"), ["_band", "_key"]), "members")
-    edges = members.filter("_rep != _hub").select(F.col("_rep").alias("_a"), F.col("_hub").alias("_b")).distinct()
-    met_docs = members.select("_rep", "_n").distinct()
-    families = components(edges).select(F.col("_node").alias("_rep"), F.col("_root").alias("_family")).join(met_docs, "_rep")
+    bands = reps.select("_rep", "_n", F.posexplode("_bands").alias("_band", "_value")).select(F.xxhash64("_band", "_value").alias("_key"), "_rep", "_n")
+    met = bands.groupBy("_key").agg(F.count("*").alias("_met")).filter("_met > 1").select("_key")
+    members = settle(bands.join(met, "_key").distinct(), "members")
     texts = docs.select(docs[id_col].cast("bigint").alias("_id"), docs[text_col].alias("_text"))
-    links = settle(_links(texts, members, reps, families, words, percent), "links")
-    roots = components(links)
+    roots = linked(texts, members, words, percent)
     changed = classes.join(roots, F.col("_rep") == F.col("_node"), "left").select(
         F.col("_digest").alias("_d"), F.coalesce("_root", "_rep").alias("_component"), "_rows", "_rep"
     ).filter("_rows > 1 OR _component != _rep").select("_d", "_component")

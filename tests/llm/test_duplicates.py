@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from oracle import duck
 
-from tapeworks.llm import exact_heavy, minhash, suffix_dedup
+from tapeworks.llm import exact_heavy, linking, minhash, suffix_dedup
 from tapeworks.llm.components import components
 from tapeworks.llm.suffix_arrays import Strings
 
@@ -24,14 +24,14 @@ def given():
     return duck(FOLDER).execute("SELECT doc_id, text FROM documents").fetchall()
 
 
-def family(n=60, words=120, seed=5):
+def family(n=60, words=120, seed=5, edits=5):
     """Near copies of one text, many of them just under or over the threshold of each other."""
     rnd = random.Random(seed)
     base = [f"w{rnd.randrange(500)}" for _ in range(words)]
     out = []
     for i in range(n):
         own = list(base)
-        for _ in range(rnd.randint(0, 5)):
+        for _ in range(rnd.randint(0, edits)):
             own[rnd.randrange(words)] = f"x{rnd.randrange(50)}"
         out.append((5000 + i, " ".join(own)))
     return out
@@ -98,7 +98,7 @@ def brute_near(rows, words, percent):
 
 @pytest.mark.parametrize("words,percent,docs_a_task", [(3, 85, 512), (5, 80, 7), (3, 85, 16)])
 def test_near_groups(spark, monkeypatch, words, percent, docs_a_task):
-    monkeypatch.setattr(minhash, "GROUP_DOCS", docs_a_task)
+    monkeypatch.setattr(linking, "GROUP_DOCS", docs_a_task)
     rows = given() + family() + ODD
     got = minhash.near_groups(frame(spark, rows), words, percent)
     assert sorted(((r._id, r._n, r._component) for r in got.collect()), key=str) == brute_near(rows, words, percent)
@@ -144,6 +144,34 @@ def test_components_of_chains_and_stars(spark):
     assert got == {x: r for x, r in root.items() if any(x in p and p[0] != p[1] for p in pairs)}
 
 
+def test_a_long_chain_takes_few_rounds(spark):
+    rounds = []
+    pairs = spark.range(1000).selectExpr("id AS _a", "id + 1 AS _b")
+    assert components(pairs, rounds).filter("_root != 0").count() == 0
+    assert len(rounds) + sum(rounds) < 15
+    rounds.clear()
+    zigzag = [(i, 2000 - i) for i in range(400)] + [(2000 - i, i + 1) for i in range(400)]
+    assert components(spark.createDataFrame(zigzag, "_a long, _b long"), rounds).filter("_root != 0").count() == 0
+    assert len(rounds) + sum(rounds) < 20
+
+
+def test_texts_of_a_large_family_are_shipped_a_bounded_number_of_times(spark, monkeypatch):
+    monkeypatch.setattr(linking, "GROUP_DOCS", 8)
+    rows = family(n=200, edits=3)
+    sent = []
+
+    def watched(df, make, schema, **given):
+        if make.__name__ in ("_settle_families", "_follow_leaders", "_link_blocks"):
+            sent.append((make.__name__, df.count()))
+        return map_batches(df, make, schema, **given)
+
+    map_batches = linking.map_batches
+    monkeypatch.setattr(linking, "map_batches", watched)
+    got = minhash.near_groups(frame(spark, rows), 3, 85)
+    assert sorted(((r._id, r._n, r._component) for r in got.collect()), key=str) == brute_near(rows, 3, 85)
+    assert ("_follow_leaders", 0) not in sent and sum(n for _, n in sent) < 200 * 2, sent  # a text each, and the leaders'
+
+
 # ---- repeated byte strings
 
 
