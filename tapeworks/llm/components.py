@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from tapeworks.llm.common import settle
 
 
+def _narrow(df: DataFrame, name: str) -> DataFrame:
+    """Settled in a part of the tasks: rows are a pair of numbers, and every task writes a file that the next ones open."""
+    return settle(df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)), name)
+
+
 def components(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """(_node, _root) for every node of edges(_a, _b), roots being the least node of each component.
 
@@ -18,22 +23,22 @@ def components(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     shared folder, and only numbers of rows come to the driver; ``rounds`` gets the number of doublings of each
     round. Nulls link nothing.
     """
-    edges = settle(edges.filter("_a != _b"), "edges")
+    edges = _narrow(edges.filter("_a != _b"), "edges")
     labels = None
     while labels is None or not edges.isEmpty():
         both = edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
         taken = both.groupBy("_a").agg(F.least("_a", F.min("_b")).alias("_to")).select(F.col("_a").alias("_from"), "_to")
-        taken, doublings = _doubled(settle(taken, "taken"))
+        taken, doublings = _doubled(_narrow(taken, "taken"))
         if rounds is not None:
             rounds.append(doublings)
         if labels is None:
             labels = taken.select(F.col("_from").alias("_node"), F.col("_to").alias("_root"))
         else:
             labels = labels.join(taken, F.col("_root") == F.col("_from"), "left").select("_node", F.coalesce("_to", "_root").alias("_root"))
-        labels = settle(labels, "labels")
+        labels = _narrow(labels, "labels")
         one = edges.join(taken, F.col("_a") == F.col("_from")).select(F.col("_to").alias("_a"), "_b")
         two = one.join(taken, F.col("_b") == F.col("_from")).select("_a", F.col("_to").alias("_b"))
-        edges = settle(two.filter("_a != _b").distinct(), "edges")
+        edges = _narrow(two.filter("_a != _b").distinct(), "edges")
     return labels
 
 
@@ -46,7 +51,7 @@ def _doubled(taken: DataFrame) -> tuple[DataFrame, int]:
     while True:
         joins += 1
         onward = taken.filter("_from != _to").select(F.col("_from").alias("_at"), F.col("_to").alias("_on"))
-        taken = settle(
+        taken = _narrow(
             taken.join(onward, F.col("_to") == F.col("_at"), "left")
             .select("_from", F.coalesce("_on", "_to").alias("_to"), F.col("_on").isNotNull().alias("_moved")), "taken",
         )

@@ -30,7 +30,8 @@ from tapeworks.llm.components import components
 
 GROUP_DOCS = 512  # of a family or block
 GROUP_SHINGLES = 2_000_000
-ROUNDS = 4  # of leaders
+ROUNDS = 6  # of leaders, at most
+WORTH = 2  # rounds go on while one document in so many finds its leader alike
 CELLS = 4096  # columns of the comparison matrix held at once
 FOLD = np.random.default_rng(7).integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 
@@ -140,12 +141,12 @@ def _follow_leaders(batches: Iterator[dict], words: int, percent: int) -> Iterat
 def _link_blocks(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]:
     """Rows of one list and pair of blocks: members outside its largest component, and members of a block."""
     for (key, *_), rows in by_group(batches, ["_minor", "_rep", "_label", "_keys", "_text"], ["_key", "_low", "_high"]):
-        kept: dict[int, tuple] = {}
-        roles: dict[int, list[bool]] = defaultdict(lambda: [False, False])
+        kept: dict[tuple, tuple] = {}  # by id and text: rows may share an id
+        roles: dict[tuple, list[bool]] = defaultdict(lambda: [False, False])
         for minor, rep, label, keys, text in rows:
-            kept[rep] = (label, keys, text)
-            roles[rep][not minor] = True
-        ids = np.array(list(kept))
+            kept[rep, text] = (label, keys)
+            roles[rep, text][not minor] = True
+        ids = np.array([i for i, _ in kept])
         labels = np.array([kept[i][0] for i in kept])
         minor, other = (np.array([roles[i][k] for i in kept]) for k in (0, 1))
         new = (labels[:, None] != labels[None, :]) & (minor[:, None] & other[None, :] | other[:, None] & minor[None, :])
@@ -159,7 +160,7 @@ def _link_blocks(batches: Iterator[dict], words: int, percent: int) -> Iterator[
                 new[np.ix_(met, met)] = False
         if not new.any():
             continue
-        linked = similar([_set(kept[i][2], words) for i in kept], percent) & new
+        linked = similar([_set(text, words) for _, text in kept], percent) & new
         label = groups_of(linked)
         own = label != np.arange(len(ids))
         if own.any():
@@ -271,7 +272,7 @@ def linked(texts: DataFrame, members: DataFrame, words: int, percent: int) -> Da
             new, pairs = _round(rest, own, words, percent, tasks)
             found = new if found is None else found.unionByName(new)
             rest = _relabelled(rest, found, pairs)
-            if rest.isEmpty():
+            if rest.isEmpty() or new.count() * WORTH < pairs.count():
                 break
         links.append(found)
         if not rest.isEmpty():
