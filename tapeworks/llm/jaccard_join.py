@@ -17,7 +17,8 @@ other would lack as many tokens of x's prefix as it covers, one too many. So eac
    anything, so they only count for coverage and are not indexed.
 3. Combinations per representative. Frequent tokens are dealt to classes by hash; how many classes depends on the
    size range of the document, so that combinations stay proportional to its size. A document near the upper end
-   of its range is also indexed in the next one; two similar documents share a range.
+   of its range is also indexed in the next one; two similar documents share a range. In ranges of very short
+   documents all tokens are indexed alone.
 4. Documents that share a combination are candidates; ``linking`` verifies them on full sets, as many as connect
    each group. No list, class or number of partners is capped.
 
@@ -55,9 +56,12 @@ def size_ranges(size: int, percent: int) -> list[int]:
     return [own, own + 1] if 100 * size >= percent << own + 1 else [own]
 
 
-def classes_of(size_range: int) -> int:
-    """Classes of frequent tokens; few enough that coverage is always reached."""
-    return max(1, min(4 + (1 << size_range) // 32, (1 << size_range) // 8))
+def classes_of(size_range: int, percent: int) -> int:
+    """Into how many classes frequent tokens are dealt; 0 where documents are so short that combinations might not
+    reach the coverage, so that all tokens are indexed alone."""
+    many = max(1, min(4 + (1 << size_range) // 32, (1 << size_range) // 8))
+    least = -(-(percent << size_range) // 100)
+    return many if least - lacking(least, percent) >= many * sum(k - 1 for _, k in CLASSES) else 0
 
 
 def _tokens(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]:
@@ -72,7 +76,7 @@ def _tokens(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]
                 tokens.append(None)
                 held.append(None)
                 continue
-            wanted = lacking(len(own), percent) + extra * classes_of(size_ranges(len(own), percent)[-1])
+            wanted = lacking(len(own), percent) + extra * max(classes_of(r, percent) for r in size_ranges(len(own), percent))
             ends = np.searchsorted(own, np.array([min(RANGE * (i + 1), 2**64 - 1) for i in range(4)], np.uint64))
             ends[-1] = len(own)
             ends = ends[:int(np.searchsorted(ends, min(wanted, len(own)))) + 1]
@@ -89,14 +93,14 @@ def combinations(size: int, percent: int, held: list[int], shared: list[tuple[in
         by_range[(token % 2**64) // RANGE].append((often, token))
     enough = lacking(size, percent)
     for size_range in size_ranges(size, percent):
-        many = classes_of(size_range)
+        many = classes_of(size_range, percent)
         covered, classes = 0, {}
         for total, told in zip(held, by_range):
             covered += total - len(told)
             for often, token in sorted(told):
                 if covered >= enough:
                     break
-                k = max((k for least, k in CLASSES if often > least), default=1)
+                k = max((k for least, k in CLASSES if often > least), default=1) if many else 1
                 if k == 1:
                     covered += 1
                     yield hash((size_range, token))
