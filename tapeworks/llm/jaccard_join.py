@@ -149,9 +149,7 @@ def jaccard_groups(
     )
     given = single.select("_row", "_rep", "_n", "_held").join(shared, F.col("_row") == F.col("_r")).select("_rep", "_n", "_held", "_shared")
     index = settle(map_batches(given, _index, "_key bigint, _rep bigint, _n bigint", percent=percent), "index")
-    met = index.groupBy("_key").agg(F.count("*").alias("_met")).filter("_met > 1").select("_key")
-    members = settle(index.join(met, "_key"), "members")
-    roots = linked(texts, members, words, percent)
+    roots = linked(texts, index, words, percent)
     changed = classes.join(roots, F.col("_rep") == F.col("_node"), "left").select(
         F.col("_digest").alias("_d"), F.coalesce("_root", "_rep").alias("_component"), "_rows", "_rep"
     ).filter("_rows > 1 OR _component != _rep").select("_d", "_component")

@@ -4,13 +4,15 @@
 of one list may be similar; links are decided on full sets, here, and only as many are looked for as connect each
 group.
 
-1. Documents connected by lists are a family; numbers alone are shuffled for that. A family of bounded size goes
-   to one task, which tests its pairs at once.
-2. Larger families are contracted first. In a round every document is compared with one leader of its lists only,
-   the one in the longest lists, so its text is shipped once a round, in chunks beside the leader's. What links becomes
-   one component, and lists within one component are done. A group of near copies ends here, whatever its size.
-3. In the lists still open, the members outside the list's largest component are compared with the others, in
-   blocks of bounded size; two documents only where they first meet, and only across components.
+1. Of lists with the same documents one is kept. Then every document is compared with one leader of its lists, the
+   most central one, so a text is shipped once, in chunks beside the leader's. What links becomes one component,
+   and lists within one component are done: a group of near copies ends here, whatever its size.
+2. Documents connected by the lists still open are a family; numbers alone are shuffled for that. A family of
+   bounded size goes to one task, which tests its pairs at once.
+3. While large families hold many documents and leaders find theirs alike, further rounds of leaders follow. In
+   the lists open after that, the members outside the list's largest component are compared with the others, in
+   blocks of bounded size; two documents only where they first meet, and only across components. Which rows that
+   takes is settled on numbers before texts are shipped.
 
 No list, family or number of partners is capped. All tables lie in the shared folder.
 """
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import map_batches, settle
@@ -31,7 +34,8 @@ from tapeworks.llm.components import components
 GROUP_DOCS = 512  # of a family or block
 GROUP_SHINGLES = 2_000_000
 ROUNDS = 6  # of leaders, at most
-WORTH = 2  # rounds go on while one document in so many finds its leader alike
+WORTH = 2  # rounds go on while one document in so many finds its leader alike,
+MANY = 32  # and large families hold so many times GROUP_DOCS documents
 CELLS = 4096  # columns of the comparison matrix held at once
 FOLD = np.random.default_rng(7).integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 
@@ -138,33 +142,40 @@ def _follow_leaders(batches: Iterator[dict], words: int, percent: int) -> Iterat
         yield {"_a": a, "_b": b}
 
 
+def _to_compare(rows: list[tuple], key: int, percent: int) -> np.ndarray:
+    """Matrix of the pairs of rows (minor, rep, label, keys, n) to be compared in this list and pair of blocks: a member
+    outside the largest component and one of the other block, that did not meet in an earlier list."""
+    minor, _, labels, _, sizes = (np.array(x) for x in zip(*((m, i, x, 0, n) for m, i, x, _, n in rows)))
+    minor = minor.astype(bool)
+    new = (labels[:, None] != labels[None, :]) & (minor[:, None] != minor[None, :])
+    new &= 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
+    earlier = defaultdict(list)
+    for row, (_, _, _, keys, _) in enumerate(rows):
+        for k in keys:
+            if k < key:
+                earlier[k].append(row)
+    for met in earlier.values():
+        if len(met) > 1:
+            new[np.ix_(met, met)] = False
+    return new
+
+
+def _needed(batches: Iterator[dict], percent: int) -> Iterator[dict]:
+    """The rows that have anything to be compared with."""
+    names = ["_minor", "_rep", "_label", "_keys", "_n"]
+    for (key, low, high), rows in by_group(batches, names, ["_key", "_low", "_high"]):
+        kept = [row for row, any_ in zip(rows, _to_compare(rows, key, percent).any(axis=1)) if any_]
+        if kept:
+            yield {"_key": [key] * len(kept), "_low": [low] * len(kept), "_high": [high] * len(kept), **dict(zip(names, map(list, zip(*kept))))}
+
+
 def _link_blocks(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]:
-    """Rows of one list and pair of blocks: members outside its largest component, and members of a block."""
-    for (key, *_), rows in by_group(batches, ["_minor", "_rep", "_label", "_keys", "_text"], ["_key", "_low", "_high"]):
-        kept: dict[tuple, tuple] = {}  # by id and text: rows may share an id
-        roles: dict[tuple, list[bool]] = defaultdict(lambda: [False, False])
-        for minor, rep, label, keys, text in rows:
-            kept[rep, text] = (label, keys)
-            roles[rep, text][not minor] = True
-        ids = np.array([i for i, _ in kept])
-        labels = np.array([kept[i][0] for i in kept])
-        minor, other = (np.array([roles[i][k] for i in kept]) for k in (0, 1))
-        new = (labels[:, None] != labels[None, :]) & (minor[:, None] & other[None, :] | other[:, None] & minor[None, :])
-        earlier = defaultdict(list)
-        for row, i in enumerate(kept):
-            for k in kept[i][1]:
-                if k < key:
-                    earlier[k].append(row)
-        for met in earlier.values():  # compared in that list
-            if len(met) > 1:
-                new[np.ix_(met, met)] = False
-        if not new.any():
-            continue
-        linked = similar([_set(text, words) for _, text in kept], percent) & new
-        label = groups_of(linked)
+    for (key, *_), rows in by_group(batches, ["_minor", "_rep", "_label", "_keys", "_n", "_text"], ["_key", "_low", "_high"]):
+        new = _to_compare([r[:5] for r in rows], key, percent)
+        ids = np.array([r[1] for r in rows])
+        label = groups_of(similar([_set(r[5], words) for r in rows], percent) & new)
         own = label != np.arange(len(ids))
-        if own.any():
-            yield {"_a": ids[own], "_b": ids[label[own]]}
+        yield {"_a": ids[own], "_b": ids[label[own]]}
 
 
 def _relabelled(members: DataFrame, links: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -179,15 +190,6 @@ def _relabelled(members: DataFrame, links: DataFrame, pairs: DataFrame) -> DataF
     return settle(named.join(open_lists, F.col("_key") == F.col("_open"), "left_semi"), "members")
 
 
-def _weighed(members: DataFrame) -> DataFrame:
-    """Members with the sizes of all their lists together: central documents of a family are in its longest lists."""
-    sizes = members.groupBy("_key").agg(F.count("*").alias("_size")).withColumnRenamed("_key", "_list")
-    weights = members.join(sizes, F.col("_key") == F.col("_list")).groupBy("_rep").agg(F.sum("_size").alias("_weight"))
-    return members.join(weights.withColumnRenamed("_rep", "_r"), F.col("_rep") == F.col("_r")).select(
-        "_key", "_rep", "_n", "_label", "_weight", F.lit(0).alias("_used")
-    )
-
-
 def _round(members: DataFrame, own: DataFrame, words: int, percent: int, tasks: int) -> tuple[DataFrame, DataFrame]:
     """Links of documents with the best leader of their lists, and who was compared with whom."""
     rank = F.struct("_used", (-F.col("_weight")).alias("_rank"), F.xxhash64("_rep").alias("_hash"), F.col("_rep").alias("_of"), F.col("_n").alias("_m"), F.col("_label").alias("_in"))
@@ -226,14 +228,17 @@ def _blocks(members: DataFrame, own: DataFrame, words: int, percent: int, tasks:
         return F.pmod(F.xxhash64("_rep"), F.col(parts)).cast("int")
 
     minor = placed.filter("_label != _main").select(
-        "_key", "_rep", "_label", F.lit(True).alias("_minor"), block("_narrow").alias("_low"), F.explode(F.sequence(F.lit(0), F.col("_wide") - 1)).alias("_high")
+        "_key", "_rep", "_label", "_n", F.lit(True).alias("_minor"), block("_narrow").alias("_low"), F.explode(F.sequence(F.lit(0), F.col("_wide") - 1)).alias("_high")
     )
     all_of = placed.select(
-        "_key", "_rep", "_label", F.lit(False).alias("_minor"), F.explode(F.sequence(F.lit(0), F.col("_narrow") - 1)).alias("_low"), block("_wide").alias("_high")
+        "_key", "_rep", "_label", "_n", F.lit(False).alias("_minor"), F.explode(F.sequence(F.lit(0), F.col("_narrow") - 1)).alias("_low"), block("_wide").alias("_high")
     )
     lists = members.groupBy("_rep").agg(F.sort_array(F.collect_list("_key")).alias("_keys"))  # a document's own lists
-    text = own.select(F.col("_rep").alias("_own"), "_text").join(lists.withColumnRenamed("_rep", "_r"), F.col("_own") == F.col("_r"))
-    sent = minor.unionByName(all_of).join(text, F.col("_rep") == F.col("_own")).select("_key", "_low", "_high", "_minor", "_rep", "_label", "_keys", "_text")
+    rows = minor.unionByName(all_of).join(lists.withColumnRenamed("_rep", "_r"), F.col("_rep") == F.col("_r")).drop("_r")
+    dealt = rows.repartition(tasks, "_key", "_low", "_high").sortWithinPartitions("_key", "_low", "_high")
+    schema = "_key bigint, _low int, _high int, _minor boolean, _rep bigint, _label bigint, _keys array<bigint>, _n bigint"
+    needed = settle(map_batches(dealt, _needed, schema, percent=percent), "needed")
+    sent = needed.join(own.select(F.col("_rep").alias("_own"), "_text"), F.col("_rep") == F.col("_own")).drop("_own")
     dealt = sent.repartition(tasks, "_key", "_low", "_high").sortWithinPartitions("_key", "_low", "_high")
     return map_batches(dealt, _link_blocks, "_a bigint, _b bigint", words=words, percent=percent)
 
@@ -249,42 +254,53 @@ def _families(members: DataFrame) -> DataFrame:
     return settle(placed.join(sizes.select(F.col("_family").alias("_f"), small.alias("_small")), F.col("_family") == F.col("_f")).drop("_f"), "families")
 
 
+def _different(members: DataFrame) -> DataFrame:
+    """One of all lists with the same documents, told by two 64-bit hashes and their number; none of one document.
+
+    Near copies share dozens of lists, and one is enough for them to meet.
+    """
+    lists = members.groupBy("_key").agg(
+        F.count("*").alias("_docs"), F.bit_xor(F.xxhash64("_rep")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "_rep")).alias("_y")
+    ).filter("_docs > 1")
+    kept = lists.groupBy("_docs", "_x", "_y").agg(F.min("_key").alias("_list"))
+    met = members.join(kept.select("_list", "_docs"), F.col("_key") == F.col("_list"))
+    weight = F.sum("_docs").over(W.partitionBy("_rep"))  # central documents of a family are in its longest lists
+    return settle(met.select("_key", "_rep", "_n", F.col("_rep").alias("_label"), weight.alias("_weight"), F.lit(0).alias("_used")), "members")
+
+
 def linked(texts: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """(_node, _root): components of similar documents, from texts(_id, _text) and members(_key, _rep, _n).
 
-    Lists of one document are of no use but do no harm; a document is in a list once. Documents without a similar
-    one may be missing.
+    A document is in a list once. Documents without a similar one may be missing.
     """
     spark = texts.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    placed = _families(members)
-    own = settle(
-        texts.join(placed.select("_rep", "_family", "_small").hint("shuffle_hash"), texts["_id"] == placed["_rep"])
-        .select("_rep", "_family", "_small", "_text"), "family-texts",
-    )
-    links = [_whole(own.filter("_small"), words, percent, tasks)]
+    rest = _different(members)
+    reps = rest.select(F.col("_rep").alias("_r")).distinct()
+    own = settle(texts.join(reps.hint("shuffle_hash"), texts["_id"] == reps["_r"]).select(F.col("_r").alias("_rep"), "_text"), "candidates")
+    links, placed = [], None
+    for _ in range(ROUNDS):
+        new, pairs = _round(rest, own, words, percent, tasks)
+        links.append(new)
+        rest = _relabelled(rest, _union(links), pairs)
+        if rest.isEmpty():
+            return components(_union(links))
+        placed = _families(rest)
+        if placed.filter("NOT _small").count() < MANY * GROUP_DOCS or new.count() * WORTH < pairs.count():
+            break
+    placed = placed.select(F.col("_rep").alias("_p"), "_family", "_small")
+    links.append(_whole(own.join(placed.filter("_small"), F.col("_rep") == F.col("_p")), words, percent, tasks))
     if not placed.filter("NOT _small").isEmpty():
-        large = placed.filter("NOT _small").select(F.col("_rep").alias("_large"))
-        rest = members.select("_key", "_rep", "_n", F.col("_rep").alias("_label")).join(large, F.col("_rep") == F.col("_large"), "left_semi")
-        rest, own = settle(_weighed(rest), "members"), own.filter("NOT _small")
-        found = None
-        for _ in range(ROUNDS):
-            new, pairs = _round(rest, own, words, percent, tasks)
-            found = new if found is None else found.unionByName(new)
-            rest = _relabelled(rest, found, pairs)
-            if rest.isEmpty() or new.count() * WORTH < pairs.count():
-                break
-        links.append(found)
-        if not rest.isEmpty():
-            again = _families(rest).select(F.col("_rep").alias("_again"), F.col("_family").alias("_of"), F.col("_small").alias("_few"))
-            apart = own.join(again, F.col("_rep") == F.col("_again"))
-            links.append(_whole(apart.filter("_few").select("_rep", F.col("_of").alias("_family"), "_text"), words, percent, tasks))
-            wide = rest.join(again.filter("NOT _few"), F.col("_rep") == F.col("_again"), "left_semi")
-            links.append(_blocks(wide, own, words, percent, tasks))
-    union = links[0]
-    for more in links[1:]:
-        union = union.unionByName(more)
-    return components(settle(union, "links"))
+        wide = rest.join(placed.filter("NOT _small"), F.col("_rep") == F.col("_p"), "left_semi")
+        links.append(_blocks(wide, own, words, percent, tasks))
+    return components(settle(_union(links), "links"))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def _whole(own: DataFrame, words: int, percent: int, tasks: int) -> DataFrame:

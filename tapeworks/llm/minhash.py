@@ -100,10 +100,8 @@ def near_groups(
     )
     reps = classes.filter("_rep IS NOT NULL")
     bands = reps.select("_rep", "_n", F.posexplode("_bands").alias("_band", "_value")).select(F.xxhash64("_band", "_value").alias("_key"), "_rep", "_n")
-    met = bands.groupBy("_key").agg(F.count("*").alias("_met")).filter("_met > 1").select("_key")
-    members = settle(bands.join(met, "_key"), "members")
     texts = docs.select(docs[id_col].cast("bigint").alias("_id"), docs[text_col].alias("_text"))
-    roots = linked(texts, members, words, percent)
+    roots = linked(texts, bands, words, percent)
     changed = classes.join(roots, F.col("_rep") == F.col("_node"), "left").select(
         F.col("_digest").alias("_d"), F.coalesce("_root", "_rep").alias("_component"), "_rows", "_rep"
     ).filter("_rows > 1 OR _component != _rep").select("_d", "_component")
