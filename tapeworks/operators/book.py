@@ -7,6 +7,7 @@ share ts and seq; a size of 0 deletes a level.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapeworks.functions import scalars as S
-from tapeworks.functions.timecols import HOUR, SECOND, floor_to, micros
+from tapeworks.functions.timecols import DAY, SECOND, floor_to, micros
 from tapeworks.operators.chunks import CUT, Chunks, bounded, measure
 from tapeworks.operators.scan import last_known
 from tapeworks.session import settled
@@ -87,6 +88,41 @@ def books(changes: DataFrame, every: int, chunks: Chunks | None = None) -> DataF
     )
 
 
+def level_intervals(changes: DataFrame, every: int = SECOND, chunks: Chunks | None = None) -> DataFrame:
+    """Levels with the buckets in which they stand: (symbol, side, price, size, valid_from, valid_to).
+
+    A level stands from the bucket of its change up to that of its next one, or of the next snapshot; ``valid_to``
+    is the first bucket without it, null if it stands at the end. One row per change at most: the result doesn't
+    grow with the time between changes.
+    """
+    levels = settled(level_changes(changes, every, chunks))
+    eras = levels.groupBy("symbol", "_snap").agg(F.lit(True).alias("_one"))
+    # eras without a level of their own end nothing: their snapshot set levels, so they have one
+    following = W.partitionBy("symbol").orderBy("_snap")
+    ends = eras.select("symbol", "_snap", floor_to(F.lead("_snap").over(following)["_us"], every).alias("_ends"))
+    history = W.partitionBy("symbol", "side", "price").orderBy("bucket")
+    stood = levels.withColumn("_next", F.lead("bucket").over(history)).filter(F.col("size") > 0)
+    return (
+        stood.join(ends, ["symbol", "_snap"])
+        .select("symbol", "side", "price", "size", F.col("bucket").alias("valid_from"), F.least("_next", "_ends").alias("valid_to"))
+        .filter("valid_to IS NULL OR valid_from < valid_to")
+    )
+
+
+def quote_intervals(changes: DataFrame, every: int = SECOND, chunks: Chunks | None = None, k: int = 1) -> DataFrame:
+    """Best ``k`` levels per side with the buckets in which they stand: (symbol, valid_from, valid_to, bids, asks).
+
+    One row per bucket that changed them; ``valid_to`` is null for the last one.
+    """
+    told = quotes(changes, every, chunks, k)
+    following = W.partitionBy("symbol").orderBy("bucket")
+    before = F.lag(F.struct("bids", "asks")).over(following)
+    moved = told.withColumn("_before", before).filter(~F.col("_before").eqNullSafe(F.struct("bids", "asks")))
+    return moved.select(
+        "symbol", F.col("bucket").alias("valid_from"), F.lead("bucket").over(following).alias("valid_to"), "bids", "asks"
+    )
+
+
 def top_levels(levels: DataFrame, k: int = MAX_LEVELS) -> DataFrame:
     """Best ``k`` levels per side: highest bids, lowest asks. Adds ``level`` (1 is the best)."""
     signed = F.when(F.col("side") == "buy", -F.col("price")).otherwise(F.col("price"))
@@ -131,6 +167,27 @@ def apply_change(sides: dict, kind: str, side: str, price: float, size: float) -
         sides[side][price] = size
 
 
+class Ladder:
+    """One side of a book with its prices in order: a change costs a search, the best levels are a slice."""
+
+    def __init__(self, levels: dict[float, float]):
+        self.sizes = levels
+        self.prices = sorted(levels)
+
+    def change(self, kind: str, price: float, size: float) -> None:
+        if size == 0 and kind != "snapshot":
+            if self.sizes.pop(price, None) is not None:
+                del self.prices[bisect.bisect_left(self.prices, price)]
+            return
+        if price not in self.sizes:
+            bisect.insort(self.prices, price)
+        self.sizes[price] = size
+
+    def best(self, side: str, k: int = MAX_LEVELS) -> list[dict]:
+        kept = self.prices[:-k - 1:-1] if side == "buy" else self.prices[:k]
+        return [{"price": p, "size": self.sizes[p]} for p in kept]
+
+
 def best_levels(levels: dict[float, float], side: str, k: int = MAX_LEVELS) -> list[dict]:
     pick = heapq.nlargest if side == "buy" else heapq.nsmallest
     return [{"price": p, "size": levels[p]} for p in pick(k, levels)]
@@ -180,21 +237,22 @@ def quotes(
     pass, and holds a bounded number of changes.
     """
     feed = changes.withColumn("_us", micros(F.col("ts")))
-    chunks = chunks or measure(feed, ["symbol"], width=max(HOUR, step))
+    chunks = chunks or measure(feed, ["symbol"], width=max(DAY, step))  # few chunks: each opens with all live levels
     feed = chunks.label(with_snapshot(changes, chunks)).drop("_span")
     order = order_of(changes)
 
     def fold(key, now: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        sides = {"buy": {}, "sell": {}}
+        opening = {"buy": {}, "sell": {}}
         for side, price, size in zip(start["side"], start["price"], start["size"]):
-            sides[side][price] = size
+            opening[side][price] = size
+        sides = {side: Ladder(levels) for side, levels in opening.items()}
         now = now.sort_values(order, kind="stable")
         names = ["_us", "seq", "kind", "side", "price", "size"]
         rows, opened, current = [], None, None
 
         def emit():
             rows.append((key[0], current, {"c": key[1], "s": key[2]},
-                         best_levels(sides["buy"], "buy", k), best_levels(sides["sell"], "sell", k)))
+                         sides["buy"].best("buy", k), sides["sell"].best("sell", k)))
 
         for us, seq, kind, side, price, size in zip(*(now[n] for n in names)):
             bucket = us - us % step
@@ -202,8 +260,8 @@ def quotes(
                 emit()
             current = bucket
             if kind == "snapshot" and (us, seq) != opened:
-                opened, sides = (us, seq), {"buy": {}, "sell": {}}
-            apply_change(sides, kind, side, price, size)
+                opened, sides = (us, seq), {"buy": Ladder({}), "sell": Ladder({})}
+            sides[side].change(kind, price, size)
         if current is not None:
             emit()
         return pd.DataFrame(rows, columns=["symbol", "bucket", "cut", "bids", "asks"])

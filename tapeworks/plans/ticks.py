@@ -27,6 +27,22 @@ def side_depth(levels: Column, mid: Column, bid: bool, band: float = DEPTH_BAND)
     return S.or_zero(F.when(mid > 0, total))
 
 
+def narrow_book(bids: Column, asks: Column, band: float = DEPTH_BAND) -> Column:
+    """What a tick needs of a book: best prices, and the depth around their middle.
+
+    With one side empty the middle comes from the ticker, so only then the levels themselves go on.
+    """
+    bid, ask = F.get(bids, F.lit(0))["price"], F.get(asks, F.lit(0))["price"]
+    both = (F.size(bids) > 0) & (F.size(asks) > 0)
+    mid = S.mid_price(bid, ask)
+    return F.struct(
+        bid.alias("bid"), ask.alias("ask"), both.alias("both"),
+        F.when(both, side_depth(bids, mid, bid=True, band=band)).alias("bid_depth"),
+        F.when(both, side_depth(asks, mid, bid=False, band=band)).alias("ask_depth"),
+        F.when(~both, bids).alias("bids"), F.when(~both, asks).alias("asks"),
+    )
+
+
 def per_bucket(trades: DataFrame, tickers: DataFrame, changes: DataFrame, step: int) -> DataFrame:
     """What each bucket brings: flow, impact, order flow, and the last price, ticker and book."""
     by, point = ["symbol", "bucket"], F.struct(micros(F.col("ts")), "seq")
@@ -53,7 +69,7 @@ def per_bucket(trades: DataFrame, tickers: DataFrame, changes: DataFrame, step:
     whole = grid(feeds[0].unionByName(feeds[1]).unionByName(feeds[2]), step)
     for part in (
         flow, told, order_flow(changes, step).select(*by, "ofi"),
-        quotes(changes, step).select(*by, F.struct("bids", "asks").alias("book")),
+        quotes(changes, step).select(*by, narrow_book(F.col("bids"), F.col("asks")).alias("book")),
     ):
         whole = whole.join(part, by, "left")
     return whole.withColumns({
@@ -80,9 +96,9 @@ def ticks(
         whole, grid_chunks(step), last={c: F.col(c) for c in kept},
         totals={"cvd_1s": ("sum", buy - sell)}, inclusive=True,
     )
-    has_book = (F.size("book.bids") > 0) & (F.size("book.asks") > 0)
+    has_book = F.coalesce("book.both", F.lit(False))
     has_quote = F.col("quote").isNotNull()
-    ask_top, bid_top = F.get("book.asks", F.lit(0))["price"], F.get("book.bids", F.lit(0))["price"]
+    ask_top, bid_top = F.col("book.ask"), F.col("book.bid")
     at = F.col("bucket") + step
     emitted = state.filter(F.col("ticker.price") > 0).select(
         "symbol",
@@ -104,18 +120,20 @@ def ticks(
     )
     spans = {("24h_calculated" if n == "24h" else n): w for n, w in (widths or HORIZONS).items()}
     # the grid sets the pace of the samples, so blocks need no counting
-    return finish_ticks(horizons(with_depth(emitted), spans, rows_per_block=None))
+    return finish_ticks(horizons(with_depth(emitted, narrow=True), spans, rows_per_block=None))
 
 
-def with_depth(samples: DataFrame) -> DataFrame:
-    """Mid price, spread and depth; the book itself is not carried any further."""
+def with_depth(samples: DataFrame, narrow: bool = False) -> DataFrame:
+    """Mid price, spread and depth; the book itself, whole or ``narrow``, is not carried any further."""
     bid, ask, mid = F.col("best_bid_1s"), F.col("best_ask_1s"), F.col("mid_price_1s")
     return samples.withColumns({
         "mid_price_1s": S.mid_price(bid, ask),
         "bid_ask_spread_1s": S.spread(bid, ask),
     }).withColumns({
-        "bid_depth_2pct_1s": side_depth(F.col("book.bids"), mid, bid=True),
-        "ask_depth_2pct_1s": side_depth(F.col("book.asks"), mid, bid=False),
+        f"{side}_depth_2pct_1s": F.coalesce(
+            *([F.when(F.col("book.both"), F.col(f"book.{side}_depth"))] if narrow else []),
+            side_depth(F.col(f"book.{levels}"), mid, bid=side == "bid"),
+        ) for side, levels in (("bid", "bids"), ("ask", "asks"))
     }).drop("book")
 
 
