@@ -9,13 +9,14 @@ extended until it covers one token more than a similar document may lack:
 Of two similar documents, let x be the one whose prefix ends first. If they shared no indexed combination, the
 other would lack as many tokens of x's prefix as it covers, one too many. So each pair meets, by construction.
 
-1. One pass over the texts: size and digest of the token set, and the tokens that can be in a prefix. The order
-   goes by ranges of the token's hash first (the first holds about a third of all tokens), by document frequency
-   within a range; so only about a third of the tokens are counted and joined. Equal sets collapse to one
-   representative.
-2. Document frequencies of these tokens, aggregated before the shuffle; tokens of one document never meet
-   anything, so they only count for coverage and are not indexed.
-3. Combinations per representative. Frequent tokens are dealt to classes by hash; how many classes depends on the
+1. One pass over the texts: size and digest of the token set. Equal sets collapse to one representative.
+2. Document frequencies of the representatives' tokens. Tokens travel packed: a chunk of documents sends each page
+   (a range of hashes) its distinct tokens there and how many documents hold them, so a token that a third of all
+   documents share is one entry a chunk. Pages add up and answer with the tokens that several documents have; the
+   others never meet anything, so they only count for coverage and are not indexed. Within a page a token is 32 bits
+   of its hash; tokens that fall together are one token everywhere, which costs candidates but loses none.
+3. Combinations per representative, in order of frequency over all tokens, so that a shared passage is indexed only
+   where it makes up most of a text. Frequent tokens are dealt to classes by hash; how many classes depends on the
    size range of the document, so that combinations stay proportional to its size. A document near the upper end
    of its range is also indexed in the next one; two similar documents share a range. In ranges of very short
    documents all tokens are indexed alone.
@@ -39,9 +40,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import map_batches, settle, table, utf8
-from tapeworks.llm.linking import linked, shingle_set
+from tapeworks.llm.linking import by_group, linked, shingle_set
 
-RANGE = int(0.32 * 2**64)  # of hashes; order goes range by range
+RANGE = 2**64  # of hashes; order goes range by range, here in one
+CHUNK_TOKENS = 1_000_000  # after which a chunk of documents is closed
+PAGE_TOKENS = 2_000_000  # of a page, about
+LISTED = 64  # a token of more documents of a chunk has its documents sent past the page
 CLASSES = ((64, 2),)  # tokens of more than so many documents are indexed in combinations of so many
 
 
@@ -64,25 +68,87 @@ def classes_of(size_range: int, percent: int) -> int:
     return many if least - lacking(least, percent) >= many * sum(k - 1 for _, k in CLASSES) else 0
 
 
-def _tokens(batches: Iterator[dict], words: int, percent: int) -> Iterator[dict]:
-    extra = sum(k - 1 for _, k in CLASSES)
+def _sizes(batches: Iterator[dict], words: int) -> Iterator[dict]:
     for batch in batches:
-        sizes, digests, tokens, held = [], [], [], []
-        for raw in utf8(batch["_text"]):
-            own = shingle_set(raw, words)
-            sizes.append(len(own))
-            digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-            if not len(own):
-                tokens.append(None)
-                held.append(None)
-                continue
-            wanted = lacking(len(own), percent) + extra * max(classes_of(r, percent) for r in size_ranges(len(own), percent))
-            ends = np.searchsorted(own, np.array([min(RANGE * (i + 1), 2**64 - 1) for i in range(4)], np.uint64))
-            ends[-1] = len(own)
-            ends = ends[:int(np.searchsorted(ends, min(wanted, len(own)))) + 1]
-            tokens.append(own[:ends[-1]].view(np.int64))
-            held.append(np.diff(ends, prepend=0))
-        yield {"_id": batch["_id"], "_n": sizes, "_digest": digests, "_tokens": tokens, "_held": held}
+        sets = (shingle_set(raw, words) for raw in utf8(batch["_text"]))
+        told = [(len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None) for own in sets]
+        yield {"_id": batch["_id"], "_hash": batch["_hash"], "_n": [n for n, _ in told], "_digest": [d for _, d in told]}
+
+
+def paged(tokens: np.ndarray, pages: int) -> np.ndarray:
+    """Tokens as page (upper half) and 32 bits within it, in the same order."""
+    width = -(-2**64 // pages)
+    if pages == 1:
+        return tokens >> np.uint64(32)
+    page = tokens // np.uint64(width)
+    return page << np.uint64(32) | (tokens - page * np.uint64(width)) >> np.uint64(max(0, width.bit_length() - 32))
+
+
+def _packed(reps: list[int], sets: list[np.ndarray]) -> Iterator[dict]:
+    """A chunk's rows: one for the chunk itself (documents, sizes, documents of the tokens that many hold), and one for
+    each page (tokens, how many documents hold each, and which)."""
+    held = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype(np.uint16)
+    order = np.argsort(held, kind="stable")
+    held, owner = held[order], owner[order]
+    tokens, counts = np.unique(held, return_counts=True)
+    many = counts > LISTED
+    past = np.repeat(many, counts)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    yield {
+        "_to": -1 - abs(reps[0]), "_a": np.array(reps, np.int64), "_b": sizes, "_c": np.where(many, counts, 0)[many].astype(np.uint32),
+        "_d": owner[past], "_e": tokens[many],
+    }
+    kept = np.where(many, 0, counts)
+    ends = np.append(0, np.cumsum(kept))
+    owner = owner[~past]
+    starts = np.flatnonzero(np.append(True, np.diff(tokens >> np.uint64(32)) > 0))
+    for low, high in zip(starts, np.append(starts[1:], len(tokens))):
+        yield {
+            "_to": int(tokens[low] >> np.uint64(32)), "_a": tokens[low:high].astype(np.uint32), "_b": counts[low:high].astype(np.uint32),
+            "_c": kept[low:high].astype(np.uint8), "_d": owner[ends[low]:ends[high]], "_e": tokens[:0],
+        }
+
+
+def _sent(batches: Iterator[dict], words: int, pages: int) -> Iterator[dict]:
+    def rows(reps, sets):
+        for row in _packed(reps, sets):
+            yield {"_to": [row.pop("_to")], "_chunk": [reps[0]], **{name: [part.tobytes()] for name, part in row.items()}}
+
+    reps, sets, total = [], [], 0
+    for batch in batches:
+        for rep, raw in zip(batch["_id"].to_pylist(), utf8(batch["_text"])):
+            reps.append(rep)
+            sets.append(paged(shingle_set(raw, words), pages))
+            total += len(sets[-1])
+            if total >= CHUNK_TOKENS or len(reps) == 2**16 - 1:
+                yield from rows(reps, sets)
+                reps, sets, total = [], [], 0
+    if reps:
+        yield from rows(reps, sets)
+
+
+def _answered(batches: Iterator[dict]) -> Iterator[dict]:
+    """Of every page the tokens that several documents hold, chunk by chunk, with their document frequencies; the rows
+    of the chunks themselves go on as they are."""
+    names = ["_chunk", "_a", "_b", "_c", "_d", "_e"]
+    for (to,), rows in by_group(batches, names, ["_to"]):
+        if to < 0:
+            yield {"_to": [to] * len(rows), **dict(zip(names, map(list, zip(*rows))))}
+            continue
+        tokens = [np.frombuffer(r[1], np.uint32) for r in rows]
+        _, place = np.unique(np.concatenate(tokens), return_inverse=True)
+        often = np.bincount(place, np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]))[place].astype(np.uint32)
+        at = 0
+        for row, own in zip(rows, tokens):
+            total = often[at:at + len(own)]
+            at += len(own)
+            shared = total > 1
+            if shared.any():
+                kept = np.frombuffer(row[3], np.uint8)
+                docs = np.frombuffer(row[4], np.uint16)[np.repeat(shared, kept)]
+                parts = (own[shared], total[shared], kept[shared], docs)
+                yield {"_to": [to], "_chunk": [row[0]], **{n: [p.tobytes()] for n, p in zip(names[1:], parts)}, "_e": [b""]}
 
 
 def combinations(size: int, percent: int, held: list[int], shared: list[tuple[int, int]]) -> Iterator[int]:
@@ -114,11 +180,42 @@ def combinations(size: int, percent: int, held: list[int], shared: list[tuple[in
                 break
 
 
+def _shared(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Of one chunk: documents and their sizes; then document, frequency and token by document and in the order of tokens."""
+    own = next(r for r in rows if r[0] < 0)
+    many, counts = np.frombuffer(own[5], np.uint64), np.frombuffer(own[3], np.uint32)
+    tokens, often, docs = [], [], []
+    told = np.zeros(len(many), np.uint32)
+    for to, a, b, c, d, _ in (r for r in rows if r[0] >= 0):
+        token = np.frombuffer(a, np.uint32).astype(np.uint64) | np.uint64(to) << np.uint64(32)
+        total, kept = np.frombuffer(b, np.uint32), np.frombuffer(c, np.uint8)
+        past = kept == 0
+        told[np.searchsorted(many, token[past])] = total[past]
+        tokens.append(np.repeat(token, kept))
+        often.append(np.repeat(total, kept))
+        docs.append(np.frombuffer(d, np.uint16))
+    tokens.append(np.repeat(many, counts))
+    often.append(np.repeat(told, counts))
+    docs.append(np.frombuffer(own[4], np.uint16))
+    token, total, doc = (np.concatenate(x) for x in (tokens, often, docs))
+    order = np.lexsort((token, total, doc))
+    return np.frombuffer(own[1], np.int64), np.frombuffer(own[2], np.int64), doc[order], total[order], token[order]
+
+
 def _index(batches: Iterator[dict], percent: int) -> Iterator[dict]:
-    for batch in batches:
+    extra = sum(k - 1 for _, k in CLASSES)
+    for _, rows in by_group(batches, ["_to", "_a", "_b", "_c", "_d", "_e"], ["_chunk"]):
         keys, reps, sizes = [], [], []
-        for rep, n, held, shared in zip(*(batch[c].to_pylist() for c in ("_rep", "_n", "_held", "_shared"))):
-            own = set(combinations(n, percent, held, [(s["_often"], s["_token"]) for s in shared]))
+        ids, totals, doc, often, token = _shared(rows)
+        starts = np.searchsorted(doc, np.arange(len(ids) + 1))
+        for rep, n, low, high in zip(ids.tolist(), totals.tolist(), starts[:-1].tolist(), starts[1:].tolist()):
+            alone = n - (high - low)
+            if alone >= lacking(n, percent):
+                continue  # the prefix ends before any shared token
+            wanted = lacking(n, percent) + extra * max(classes_of(r, percent) for r in size_ranges(n, percent))
+            high = min(high, low + wanted - alone)
+            told = list(zip(often[low:high].tolist(), token[low:high].tolist()))
+            own = set(combinations(n, percent, [alone + len(told)], told))
             keys.extend(own)
             reps.extend([rep] * len(own))
             sizes.extend([n] * len(own))
@@ -132,23 +229,26 @@ def jaccard_groups(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(_id, _n, _component) per row of ``docs``: size of its token set, smallest id it is linked with."""
+    spark = docs.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     texts = docs.select(docs[id_col].cast("bigint").alias("_id"), docs[text_col].alias("_text"))
-    schema = "_id bigint, _n bigint, _digest binary, _tokens array<bigint>, _held array<int>"
-    told = settle(map_batches(texts, _tokens, schema, words=words, percent=percent).withColumn("_row", F.monotonically_increasing_id()), "tokens")
-    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_row")))
+    named = texts.withColumn("_hash", F.xxhash64("_text"))
+    told = settle(map_batches(named, _sizes, "_id bigint, _hash bigint, _n bigint, _digest binary", words=words), "sizes")
+    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_hash")))
     classes = settle(
-        told.filter("_n > 0").groupBy("_digest").agg(first.alias("_first"), F.count("*").alias("_rows"))
-        .select("_digest", F.col("_first._id").alias("_rep"), F.col("_first._row").alias("_at"), "_rows"), "classes",
+        told.filter("_n > 0").groupBy("_digest").agg(first.alias("_first"), F.count("*").alias("_rows"), F.min("_n").alias("_n"))
+        .select("_digest", F.col("_first._id").alias("_rep"), F.col("_first._hash").alias("_of"), "_rows", "_n"), "classes",
     )
-    single = told.join(classes.select("_at"), F.col("_row") == F.col("_at"), "left_semi").withColumnRenamed("_id", "_rep")
-    tokens = single.select("_row", F.explode("_tokens").alias("_token"))
-    often = tokens.groupBy("_token").agg(F.count("*").alias("_often")).filter("_often > 1").select(F.col("_token").alias("_t"), "_often")
-    shared = (
-        tokens.join(often, F.col("_token") == F.col("_t")).groupBy("_row")
-        .agg(F.collect_list(F.struct("_often", "_token")).alias("_shared")).withColumnRenamed("_row", "_r")  # a document's own tokens
+    pages = max(tasks, -(-(classes.agg(F.sum("_n")).first()[0] or 0) // PAGE_TOKENS))
+    reps = classes.filter("_rep IS NOT NULL").select("_rep", "_of")
+    single = (
+        named.join(reps.hint("merge"), (F.col("_id") == F.col("_rep")) & (F.col("_hash") == F.col("_of")), "left_semi")
+        .dropDuplicates(["_id", "_hash"])
     )
-    given = single.select("_row", "_rep", "_n", "_held").join(shared, F.col("_row") == F.col("_r")).select("_rep", "_n", "_held", "_shared")
-    index = settle(map_batches(given, _index, "_key bigint, _rep bigint, _n bigint", percent=percent), "index")
+    packed = "_to bigint, _chunk bigint, _a binary, _b binary, _c binary, _d binary, _e binary"
+    sent = map_batches(single, _sent, packed, words=words, pages=pages).repartition(tasks, "_to").sortWithinPartitions("_to", "_chunk")
+    answers = map_batches(sent, _answered, packed).repartition(tasks, "_chunk").sortWithinPartitions("_chunk", "_to")
+    index = settle(map_batches(answers, _index, "_key bigint, _rep bigint, _n bigint", percent=percent), "index")
     roots = linked(texts, index, words, percent)
     changed = classes.join(roots, F.col("_rep") == F.col("_node"), "left").select(
         F.col("_digest").alias("_d"), F.coalesce("_root", "_rep").alias("_component"), "_rows", "_rep"
