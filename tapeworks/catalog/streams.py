@@ -7,7 +7,7 @@ from tapeworks.catalog.aggregates import DOUBLES, PLAIN, hour_bars, sql_books
 from tapeworks.catalog.ordered import SQL_LAGS, SQL_SESSIONS, SQL_SYMBOL_ALERTS, alert_sql, lag_readings, symbol_alerts
 from tapeworks.catalog.registry import query
 from tapeworks.catalog.storage import HOUR_SPAN, NOW, stamp
-from tapeworks.functions.timecols import DAY, HOUR, MINUTE, SECOND
+from tapeworks.functions.timecols import DAY, HOUR, MINUTE, SECOND, micros
 from tapeworks.plans import ticks as tick_plan
 from tapeworks.schemas import BAR_SCHEMA, TICK_SCHEMA
 from tapeworks.session import work_folder
@@ -70,6 +70,30 @@ def t04(spark, folder):
     return V.rounded(rows.drop("feed_session"))
 
 
+# trades that the watermark, in milliseconds, has passed
+@query("t04_ordered", f"""WITH {V.SQL_TRADES}
+SELECT symbol, us, seq, price, lag(price) OVER w AS previous_price,
+       round(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) OVER w + 1.3e-9, 6) + 0.0 AS cvd
+FROM trades WHERE us < (SELECT max(us) // 1000 * 1000 FROM trades) - {DAY}
+WINDOW w AS (PARTITION BY symbol ORDER BY us, seq ROWS UNBOUNDED PRECEDING)""")
+def t04_ordered(spark, folder):
+    """Four micro-batches by time; of the trades in the last 23 hours of each, every other one comes a batch late."""
+    landed = work_folder(spark, "trades")
+    rows = V.as_trades(V.feed(spark.read.parquet(f"{folder}/events.parquet")))
+    us = micros(F.col("ts"))
+    low, high = rows.agg(F.min(us), F.max(us)).first()
+    seen_at = F.when(F.col("seq") % 2 == 0, us + 23 * HOUR).otherwise(us)
+    batch = F.least(F.lit(3), F.floor((seen_at - (low or 0)) * 4 / ((high or 0) - (low or 0) + 1)))
+    known, most = set(), 1
+    for number in range(4):
+        rows.filter(batch == number).write.mode("append").parquet(landed)
+        new = stamp(spark, landed, NOW + number * HOUR_SPAN, known)
+        known |= new
+        most = max(most, len(new))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", most).parquet(landed)
+    return V.rounded(drain(state.ordered_trades(stream, "1 day"))[0].drop("feed_session"))
+
+
 @query("t04_sessions", SQL_SESSIONS)
 def t04_sessions(spark, folder):
     """The running delta of the stream, started again with each feed session."""

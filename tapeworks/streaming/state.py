@@ -10,11 +10,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tapeworks.functions.timecols import micros
 from tapeworks.operators.health import CHECK_EVERY, STALE_AFTER, STRIKES
+from tapeworks.streaming.drain import use_rocksdb
 
 OUT = "symbol string, us long, seq long, price double, previous_price double, cvd double, feed_session long"
+WAITING = "us long, seq long, price double, size double, side string"
 STATE = "cvd double, previous_price double, last_us long, feed_session long"
 
 
@@ -29,9 +32,13 @@ def restarts(us: np.ndarray, before: int | None) -> np.ndarray:
     return -(-(us - first) // CHECK_EVERY) >= STRIKES
 
 
-def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState, sessions: bool) -> Iterator[pd.DataFrame]:
-    cvd, previous, last_us, session = state.get if state.exists else (0.0, None, None, 0)
-    pdf = pd.concat(list(batches)).sort_values(["us", "seq"], kind="stable")
+NOTHING = (0.0, None, None, 0)
+
+
+def _run(symbol: str, pdf: pd.DataFrame, before: tuple, sessions: bool) -> tuple[tuple, pd.DataFrame]:
+    """The state after the trades of ``pdf``, which follow those ``before`` tells of, and their rows."""
+    cvd, previous, last_us, session = before
+    pdf = pdf.sort_values(["us", "seq"], kind="stable")
     price, size = pdf["price"].to_numpy(float), pdf["size"].fillna(0.0).to_numpy(float)
     us = pdf["us"].to_numpy()
     opens = restarts(us, last_us) if sessions else np.zeros(len(us), bool)
@@ -43,15 +50,21 @@ def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState, sessions: b
     # a missing size moves nothing, and the price before is the last one known
     known = pd.Series(np.append([np.nan if previous is None else previous], price)).ffill().to_numpy()
     before, last = known[:-1], known[-1]
-    state.update((float(totals[-1]), None if np.isnan(last) else float(last), int(us[-1]), int(session + number[-1])))
-    yield pd.DataFrame({
-        "symbol": key[0], "us": us, "seq": pdf["seq"].to_numpy(),
+    after = (float(totals[-1]), None if np.isnan(last) else float(last), int(us[-1]), int(session + number[-1]))
+    return after, pd.DataFrame({
+        "symbol": symbol, "us": us, "seq": pdf["seq"].to_numpy(),
         "price": pd.Series(price).astype(object).where(~np.isnan(price), None),
         "previous_price": pd.Series(before).astype(object).where(~np.isnan(before), None),
         "cvd": totals, "feed_session": session + number,
     })
 
 
+def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState, sessions: bool) -> Iterator[pd.DataFrame]:
+    after, rows = _run(key[0], pd.concat(list(batches)), state.get if state.exists else NOTHING, sessions)
+    state.update(after)
+    yield rows
+
+
 def streaming_trades(trades: DataFrame, sessions: bool = False) -> DataFrame:
     """Each trade with the price before it and the volume delta so far, in event-time order
     within a micro-batch.
@@ -62,3 +75,86 @@ def streaming_trades(trades: DataFrame, sessions: bool = False) -> DataFrame:
     return slim.groupBy("symbol").applyInPandasWithState(
         partial(_follow, sessions=sessions), OUT, STATE, "append", GroupStateTimeout.NoTimeout
     )
+
+
+class TradesInOrder(StatefulProcessor):
+    """Holds trades back until the watermark has passed them, then follows them in the order of their times.
+
+    A timer per symbol stands at its first trade held back, so that a symbol is released though it has no more messages.
+    With ``forget_ms`` a symbol starts from nothing after a longer silence, however the batches fall, and its state
+    goes when the watermark is so long past its last trade.
+    """
+
+    def __init__(self, sessions: bool, forget_ms: int | None):
+        self.sessions, self.forget_ms = sessions, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.running = handle.getValueState("running", STATE)
+        self.waiting = handle.getListState("waiting", WAITING)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        columns = [c.strip().split()[0] for c in WAITING.split(",")]
+        yield from self._release(key, pd.concat([pdf[columns] for pdf in rows]), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._release(key, None, timerValues)
+
+    def _release(self, key, new: pd.DataFrame | None, timers) -> Iterator[pd.DataFrame]:
+        mark = timers.getCurrentWatermarkInMs() * 1000
+        held = pd.DataFrame(list(self.waiting.get()), columns=[c.strip().split()[0] for c in WAITING.split(",")])
+        known = len(held)
+        if new is not None:
+            held = pd.concat([held, new]) if known else new
+        ready = held["us"] < mark
+        before = (self.running.get() if self.running.exists() else None) or NOTHING
+        if ready.any():
+            todo = held[ready].sort_values(["us", "seq"], kind="stable")
+            us = todo["us"].to_numpy()
+            fresh = np.zeros(len(us), bool)
+            if self.forget_ms is not None:
+                fresh = np.diff(us, prepend=us[0] if before[2] is None else before[2]) > self.forget_ms * 1000
+            starts = np.unique(np.append([0], np.flatnonzero(fresh)))
+            for start, end in zip(starts, np.append(starts[1:], len(us))):
+                before, out = _run(key[0], todo.iloc[start:end], NOTHING if fresh[start] else before, self.sessions)
+                yield out
+            self.running.update(before)
+        held = held[~ready]
+        if len(held) != known or new is not None:
+            self._keep(held)
+        last = before[2]
+        if len(held):
+            self.handle.registerTimer(int(held["us"].min()) // 1000 + 1)
+        elif self.forget_ms is not None and last is not None:
+            if last + self.forget_ms * 1000 < mark:
+                self.running.clear()
+            else:
+                self.handle.registerTimer(last // 1000 + self.forget_ms + 1)
+
+    def _keep(self, held: pd.DataFrame) -> None:
+        if not len(held):
+            self.waiting.clear()
+            return
+        held = held.astype(object).where(held.notna(), None)
+        self.waiting.put([
+            (int(us), int(seq), None if price is None else float(price), None if size is None else float(size), side)
+            for us, seq, price, size, side in held.itertuples(index=False, name=None)
+        ])
+
+    def close(self) -> None:
+        pass
+
+
+def ordered_trades(trades: DataFrame, lateness: str = "5 minutes", sessions: bool = False, forget_ms: int | None = None) -> DataFrame:
+    """``streaming_trades`` in event-time order over all micro-batches, equal to the batch form.
+
+    A trade comes out once the watermark, ``lateness`` behind the newest trade, has passed it; trades behind the
+    watermark when they arrive are refused, and the query's progress counts them. Trades without a time never come out.
+    State holds the trades of one lateness per symbol, and four numbers; with ``forget_ms`` a symbol without trades for
+    longer is forgotten and starts from nothing when it comes back.
+    """
+    use_rocksdb(trades.sparkSession)
+    slim = trades.filter("ts IS NOT NULL").withWatermark("ts", lateness).select("symbol", "ts", micros(F.col("ts")).alias("us"), "seq", "price", "size", "side")
+    return slim.groupBy("symbol").transformWithStateInPandas(
+        TradesInOrder(sessions, forget_ms), OUT, outputMode="append", timeMode="eventTime"
+    )

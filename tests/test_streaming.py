@@ -121,6 +121,52 @@ def test_running_state_survives_batches(spark):
     assert rows.filter("previous_price is null").count() == 3  # the first trade of each symbol
 
 
+def late_by_one(feed, spark, every=3, files=4):
+    """The feed in micro-batches of equal spans; every third row arrives in the batch after its own."""
+    root = work_folder(spark, "late")
+    rows = feed.orderBy("ts", "seq").collect()
+    size = -(-len(rows) // files)
+    parts = [[] for _ in range(files)]
+    for at_, row in enumerate(rows):
+        parts[min(files - 1, at_ // size + (row["seq"] % every == 0))].append(row)
+    for part in parts:
+        spark.createDataFrame(part, feed.schema).coalesce(1).write.mode("append").parquet(root)
+        time.sleep(0.05)
+    return spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(root)
+
+
+def test_trades_a_batch_late_are_followed_in_order(spark):
+    feed = trades(spark, [(s, t, i, 100.0 + i, 1.0 + i % 3, k) for i, (s, t, k) in enumerate(
+        [("X", t, "buy" if t % 5 else "sell") for t in range(0, 400, 2)] + [("Y", 31, "buy"), ("Y", 33, "sell")])])
+    rows = as_dicts(drain(SS.ordered_trades(late_by_one(feed, spark), "200 seconds"))[0], "symbol", "us", "seq")
+    closed = feed.filter(F.col("ts") < F.lit(at(398 - 200)))
+    want = as_dicts(flow.volume_delta(closed), "symbol", "ts", "seq")
+    assert len(rows) == 99 + 2  # Y is released without a later message of its own
+    assert [(r["symbol"], r["seq"], r["cvd"]) for r in rows] == [(r["symbol"], r["seq"], pytest.approx(r["cvd"])) for r in want]
+    last = {}
+    for r in rows:
+        assert r["previous_price"] == last.get(r["symbol"])
+        last[r["symbol"]] = r["price"]
+
+
+def test_ordered_trades_refuse_what_the_watermark_has_passed_and_keep_nulls(spark):
+    data = [("X", 0, 0, 1.0, 1.0, "buy"), ("X", 5000, 1, None, None, "buy"), ("X", 6000, 2, 2.0, 1.0, "buy"), ("X", 10, 3, 9.0, 9.0, "buy"),
+            ("X", 20_000, 4, 3.0, 1.0, "sell"), ("X", 40_000, 5, 3.0, 1.0, "sell")]
+    rows, query = drain(SS.ordered_trades(stream_of(spark, trades(spark, data), order="seq", files=6), "10 seconds"))
+    got = as_dicts(rows, "us")
+    assert [(r["seq"], r["previous_price"], r["cvd"]) for r in got] == [(0, None, 1), (1, 1, 1), (2, 1, 2), (4, 2, 1)]
+    assert dropped_late(query) == 1
+
+
+def test_silent_symbols_are_forgotten(spark):
+    data = [("X", 0, 0, 1.0, 5.0, "buy"), ("Y", 1000, 1, 1.0, 1.0, "buy"), ("Y", 2000, 2, 1.0, 1.0, "buy"), ("X", 3000, 3, 2.0, 1.0, "buy"), ("Y", 9000, 4, 1.0, 1.0, "buy")]
+    feed = trades(spark, data)
+    kept = as_dicts(drain(SS.ordered_trades(stream_of(spark, feed, files=5), "10 seconds"))[0], "seq")
+    gone = as_dicts(drain(SS.ordered_trades(stream_of(spark, feed, files=5), "10 seconds", forget_ms=1_500_000))[0], "seq")
+    assert [(r["seq"], r["cvd"], r["previous_price"]) for r in kept] == [(0, 5, None), (1, 1, None), (2, 2, 1), (3, 6, 1)]
+    assert [(r["seq"], r["cvd"], r["previous_price"]) for r in gone] == [(0, 5, None), (1, 1, None), (2, 2, 1), (3, 1, None)]
+
+
 def tick_feeds(spark):
     deals = trades(spark, [r for r in random_trades(300, span=89, hot=0.6) if r[3] > 0 and r[1] < 90])
     shown = spark.createDataFrame(
