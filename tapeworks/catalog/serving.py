@@ -12,6 +12,7 @@ from tapeworks.operators import serving, sets
 from tapeworks.operators.bars import bars
 from tapeworks.plans import context
 from tapeworks.schemas import BAR_SCHEMA
+from tapeworks.session import settled
 
 AS_OF_MS = AS_OF_US // 1000
 LABELS = {"5 Minutes": 300_000, "1 Hour": 3_600_000, "1 Day": 86_400_000}
@@ -185,6 +186,31 @@ def u4(spark, folder):
     return sets.reconcile(old, new, ["close", "total_volume_1m"])
 
 
+SQL_DIGESTS = """SELECT coalesce(o.hour, n.hour) AS hour, o.rows IS NOT DISTINCT FROM n.rows AS same
+FROM (SELECT hour, list(row(symbol, window_start, close, total_volume_1m) ORDER BY symbol, window_start) AS rows FROM bars_ GROUP BY 1) o
+FULL JOIN (SELECT hour, list(row(symbol, window_start, close, total_volume_1m) ORDER BY symbol, window_start) AS rows FROM fresh_ GROUP BY 1) n
+  ON o.hour = n.hour"""
+
+
+# the second edition is the bars themselves but for those of every fifth day
+@query("u4_digests", f"""WITH {V.HOUR_BARS},
+bars_ AS (SELECT symbol, window_start, window_start AS hour, close, total_volume_1m FROM bars),
+fresh_ AS (SELECT symbol, window_start, hour, CASE WHEN symbol = 'S1' AND hour // 86400000 % 5 = 0 THEN close + 1 ELSE close END AS close,
+                  total_volume_1m FROM bars_ WHERE NOT (symbol = 'S2' AND hour // 86400000 % 5 = 0)),
+hours AS ({SQL_DIGESTS})
+SELECT count(*) FILTER (f.symbol IS NOT NULL) AS in_both, count(*) FILTER (f.symbol IS NULL) AS left_only, 0 AS right_only,
+       count(*) FILTER (abs(b.close - f.close) > 1e-9) AS diff_close, 0 AS diff_total_volume_1m,
+       (SELECT count(*) FROM hours WHERE NOT same) AS hours_joined
+FROM bars_ b LEFT JOIN fresh_ f ON b.symbol = f.symbol AND b.window_start = f.window_start""")
+def u4_digests(spark, folder):
+    old = settled(hour_bars(spark, folder).select("symbol", "window_start", "close", "total_volume_1m"))
+    other = F.floor(F.col("window_start") / 86_400_000) % 5 == 0
+    new = old.filter(~((F.col("symbol") == "S2") & other)).withColumn(
+        "close", F.when((F.col("symbol") == "S1") & other, F.col("close") + 1).otherwise(F.col("close"))
+    )
+    return sets.reconcile_by_digest(old, new, ["close", "total_volume_1m"])
+
+
 @query("c1_context")
 def c1(spark, folder):
     return context.market_context(minute_bars(spark, folder), "1 Day", AS_OF_US)

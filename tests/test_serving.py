@@ -58,6 +58,29 @@ def test_reconcile(spark):
     assert (row.in_both, row.left_only, row.right_only, row.diff_close, row.diff_open) == (2, 1, 0, 1, 0)
 
 
+def test_reconcile_by_digest_joins_only_hours_that_differ(spark, monkeypatch):
+    left = bars(spark, [BASE + k * HOUR + j * MIN for k in range(5) for j in range(4)])
+    shuffled = left.repartition(7, "close")
+    same = sets.reconcile_by_digest(left, shuffled, ["close", "open"]).first()
+    assert (same.in_both, same.left_only, same.right_only, same.diff_close, same.hours_joined) == (20, 0, 0, 0, 0)
+    at = F.col("window_start")
+    right = shuffled.filter(at != BASE + MIN).withColumn("close", F.when(at == BASE + HOUR, 7e9).otherwise(F.col("close")))
+    right = right.unionByName(bars(spark, [BASE + 9 * HOUR]))
+    got, want = sets.reconcile_by_digest(left, right, ["close", "open"]).first(), sets.reconcile(left, right, ["close", "open"]).first()
+    assert got.hours_joined == 3 and got.asDict() == {**want.asDict(), "hours_joined": 3}
+
+
+@pytest.mark.parametrize("cell", ["CAST('NaN' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)", "CAST(NULL AS DOUBLE)", "0D"])
+def test_digests_of_odd_values_and_missing_keys_agree_with_the_join(spark, cell):
+    at = F.col("window_start")
+    left = bars(spark, [BASE, BASE + MIN, BASE + HOUR, BASE + 2 * HOUR]).withColumn("close", F.when(at == BASE, F.expr(cell)).otherwise(F.col("close")))
+    left = left.withColumn("symbol", F.when(at != BASE + HOUR, F.col("symbol"))).withColumn("window_start", F.when(at != BASE + 2 * HOUR, at))
+    swapped = left.withColumns({"open": F.col("close"), "close": F.col("open")})  # a missing value in another place
+    for right in (left, swapped, left.limit(0)):
+        got, want = sets.reconcile_by_digest(left, right, ["close", "open"]).first(), sets.reconcile(left, right, ["close", "open"]).first()
+        assert {**got.asDict(), "hours_joined": None} == {**want.asDict(), "hours_joined": None}
+
+
 def test_moving_average_equals_pandas_over_gaps(spark):
     at = [BASE + k * MIN for k in (0, 1, 2, 900, 901, 5000, 9000, 9001, 9002, 9003, 9004, 9005, 30000)]
     made = as_dicts(serving.moving_average(bars(spark, at)), "window_start")
