@@ -3,4 +3,4 @@
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tapeworks.catalog import aggregates, formulas, ordered, seconds, serving, storage, streams  # noqa: F401
+    from tapeworks.catalog import aggregates, formulas, late, ordered, seconds, serving, storage, streams  # noqa: F401
