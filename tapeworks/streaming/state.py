@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -15,9 +16,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tapeworks.functions.timecols import micros
 from tapeworks.operators.health import CHECK_EVERY, STALE_AFTER, STRIKES
 from tapeworks.streaming.drain import use_rocksdb
+from tapeworks.streaming.packed import PIECE_ROWS, gather, pieces
 
 OUT = "symbol string, us long, seq long, price double, previous_price double, cvd double, feed_session long"
 WAITING = "us long, seq long, price double, size double, side string"
+HELD = [c.strip().split()[0] for c in WAITING.split(",")]
 STATE = "cvd double, previous_price double, last_us long, feed_session long"
 
 
@@ -35,14 +38,12 @@ def restarts(us: np.ndarray, before: int | None) -> np.ndarray:
 NOTHING = (0.0, None, None, 0)
 
 
-def _run(symbol: str, pdf: pd.DataFrame, before: tuple, sessions: bool) -> tuple[tuple, pd.DataFrame]:
-    """The state after the trades of ``pdf``, which follow those ``before`` tells of, and their rows."""
+def _run(symbol: str, rows: dict[str, np.ndarray], before: tuple, sessions: bool) -> tuple[tuple, pd.DataFrame]:
+    """The state after the trades of ``rows``, in order and following those ``before`` tells of, and their rows."""
     cvd, previous, last_us, session = before
-    pdf = pdf.sort_values(["us", "seq"], kind="stable")
-    price, size = pdf["price"].to_numpy(float), pdf["size"].fillna(0.0).to_numpy(float)
-    us = pdf["us"].to_numpy()
+    us, price, size = rows["us"], rows["price"], np.where(np.isnan(rows["size"]), 0.0, rows["size"])
     opens = restarts(us, last_us) if sessions else np.zeros(len(us), bool)
-    moved = np.cumsum(np.where(pdf["side"] == "buy", size, -size))
+    moved = np.cumsum(np.where(rows["buys"], size, -size))
     number = np.cumsum(opens)
     at = np.flatnonzero(opens)  # a session starts from nothing
     base = np.append([-cvd], np.where(at > 0, moved[at - 1], 0.0))
@@ -51,18 +52,27 @@ def _run(symbol: str, pdf: pd.DataFrame, before: tuple, sessions: bool) -> tuple
     known = pd.Series(np.append([np.nan if previous is None else previous], price)).ffill().to_numpy()
     before, last = known[:-1], known[-1]
     after = (float(totals[-1]), None if np.isnan(last) else float(last), int(us[-1]), int(session + number[-1]))
+    # a missing price is NaN here, which Spark takes for null
     return after, pd.DataFrame({
-        "symbol": symbol, "us": us, "seq": pdf["seq"].to_numpy(),
-        "price": pd.Series(price).astype(object).where(~np.isnan(price), None),
-        "previous_price": pd.Series(before).astype(object).where(~np.isnan(before), None),
+        "symbol": symbol, "us": us, "seq": rows["seq"], "price": price, "previous_price": before,
         "cvd": totals, "feed_session": session + number,
     })
 
 
+def _numbers(frames: Iterable[pd.DataFrame]) -> dict[str, np.ndarray]:
+    """The trades of all frames as columns of numbers."""
+    return gather((pd.DataFrame({
+        "us": pdf["us"], "seq": pdf["seq"], "price": pdf["price"].astype(float), "size": pdf["size"].astype(float),
+        "buys": (pdf["side"] == "buy").astype(bool),
+    }) for pdf in frames), ["us", "seq", "price", "size", "buys"])
+
+
 def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState, sessions: bool) -> Iterator[pd.DataFrame]:
-    after, rows = _run(key[0], pd.concat(list(batches)), state.get if state.exists else NOTHING, sessions)
-    state.update(after)
-    yield rows
+    held, before = _numbers(batches), state.get if state.exists else NOTHING
+    for piece in pieces(held, np.lexsort((held["seq"], held["us"]))):
+        before, rows = _run(key[0], piece, before, sessions)
+        yield rows
+    state.update(before)
 
 
 def streaming_trades(trades: DataFrame, sessions: bool = False) -> DataFrame:
@@ -94,52 +104,55 @@ class TradesInOrder(StatefulProcessor):
         self.waiting = handle.getListState("waiting", WAITING)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        columns = [c.strip().split()[0] for c in WAITING.split(",")]
-        yield from self._release(key, pd.concat([pdf[columns] for pdf in rows]), timerValues)
+        yield from self._release(key, rows, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._release(key, None, timerValues)
 
-    def _release(self, key, new: pd.DataFrame | None, timers) -> Iterator[pd.DataFrame]:
+    def _waiting(self) -> Iterator[pd.DataFrame]:
+        """The trades held back, so many at a time."""
+        rows = iter(self.waiting.get())
+        while some := list(islice(rows, PIECE_ROWS)):
+            yield pd.DataFrame(some, columns=HELD)
+
+    def _release(self, key, new: Iterator[pd.DataFrame] | None, timers) -> Iterator[pd.DataFrame]:
         mark = timers.getCurrentWatermarkInMs() * 1000
-        held = pd.DataFrame(list(self.waiting.get()), columns=[c.strip().split()[0] for c in WAITING.split(",")])
-        known = len(held)
-        if new is not None:
-            held = pd.concat([held, new]) if known else new
+        held = _numbers(chain(self._waiting(), new or ()))
         ready = held["us"] < mark
         before = (self.running.get() if self.running.exists() else None) or NOTHING
         if ready.any():
-            todo = held[ready].sort_values(["us", "seq"], kind="stable")
-            us = todo["us"].to_numpy()
-            fresh = np.zeros(len(us), bool)
-            if self.forget_ms is not None:
-                fresh = np.diff(us, prepend=us[0] if before[2] is None else before[2]) > self.forget_ms * 1000
-            starts = np.unique(np.append([0], np.flatnonzero(fresh)))
-            for start, end in zip(starts, np.append(starts[1:], len(us))):
-                before, out = _run(key[0], todo.iloc[start:end], NOTHING if fresh[start] else before, self.sessions)
-                yield out
+            passed = np.flatnonzero(ready)
+            order = passed[np.lexsort((held["seq"][passed], held["us"][passed]))]
+            for piece in pieces(held, order):
+                us = piece["us"]
+                fresh = np.zeros(len(us), bool)
+                if self.forget_ms is not None:
+                    fresh = np.diff(us, prepend=us[0] if before[2] is None else before[2]) > self.forget_ms * 1000
+                starts = np.unique(np.append([0], np.flatnonzero(fresh)))
+                for start, end in zip(starts, np.append(starts[1:], len(us))):
+                    part = {c: values[start:end] for c, values in piece.items()}
+                    before, out = _run(key[0], part, NOTHING if fresh[start] else before, self.sessions)
+                    yield out
             self.running.update(before)
-        held = held[~ready]
-        if len(held) != known or new is not None:
-            self._keep(held)
+        waiting = np.flatnonzero(~ready)
+        if new is not None or ready.any():
+            self._keep(held, waiting)
         last = before[2]
-        if len(held):
-            self.handle.registerTimer(int(held["us"].min()) // 1000 + 1)
+        if len(waiting):
+            self.handle.registerTimer(int(held["us"][waiting].min()) // 1000 + 1)
         elif self.forget_ms is not None and last is not None:
             if last + self.forget_ms * 1000 < mark:
                 self.running.clear()
             else:
                 self.handle.registerTimer(last // 1000 + self.forget_ms + 1)
 
-    def _keep(self, held: pd.DataFrame) -> None:
-        if not len(held):
-            self.waiting.clear()
-            return
-        held = held.astype(object).where(held.notna(), None)
-        self.waiting.put([
-            (int(us), int(seq), None if price is None else float(price), None if size is None else float(size), side)
-            for us, seq, price, size, side in held.itertuples(index=False, name=None)
-        ])
+    def _keep(self, held: dict[str, np.ndarray], waiting: np.ndarray) -> None:
+        self.waiting.clear()
+        for piece in pieces(held, waiting):
+            self.waiting.appendList([
+                (int(us), int(seq), None if price != price else price, None if size != size else size, "buy" if buys else "sell")
+                for us, seq, price, size, buys in zip(*(values.tolist() for values in piece.values()))
+            ])
 
     def close(self) -> None:
         pass
