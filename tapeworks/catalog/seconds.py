@@ -12,7 +12,7 @@ from tapeworks.catalog import views as V
 from tapeworks.catalog.aggregates import mids
 from tapeworks.catalog.ordered import grid_by
 from tapeworks.catalog.registry import ORACLES, QUERIES, query
-from tapeworks.catalog.streams import SPANS, book_by
+from tapeworks.catalog.streams import SPANS, book_by, streamed_ticks, streamed_ticks_sql
 from tapeworks.functions.timecols import DAY, MINUTE, SECOND
 from tapeworks.operators import align, book
 from tapeworks.operators.horizons import HORIZONS
@@ -116,6 +116,13 @@ for _name in ("a15_depth", "a17_top", "j2_grid", "j3_depth_filter", "k1_levels",
     _dense(_name)
 
 
+@query("t03_ticks_stream_dense", streamed_ticks_sql(SECOND, HORIZONS).replace("WITH ", f"WITH {DENSE_EVENTS}, ", 1))
+def t03_stream_dense(spark, folder):
+    place = dense(spark, folder)
+    events = spark.readStream.schema(V.load(spark, place, "events").schema).parquet(f"{place}/events.parquet")
+    return streamed_ticks(V.feed(events))
+
+
 # ---- books as intervals: results of the size of the changes, whatever the time between them
 
 

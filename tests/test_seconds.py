@@ -7,7 +7,7 @@ import pytest
 from oracle import compare
 
 import __spark_entry__ as entry
-from tapeworks.catalog.streams import SPANS
+from tapeworks.catalog.streams import SPANS, streamed_ticks_sql
 from tapeworks.functions.timecols import DAY, MINUTE, SECOND
 from tapeworks.operators.horizons import HORIZONS
 
@@ -37,3 +37,17 @@ def test_seconds_equal_sql_at_seconds(spark, short, name):
     sql = re.sub(r"\d+", lambda m: str(steps.get(int(m[0]), m[0])), entry.oracle_sql()[name])
     assert sql != entry.oracle_sql()[name]
     assert compare(entry.queries()[f"{name}_seconds"](spark, folder), sql, con) == []
+
+
+def test_the_stream_of_ticks_comes_by_the_second(spark, tmp_path):
+    """It used to come by the hour. 500 messages in 25 minutes, with 9 minutes of silence among them."""
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"""COPY (SELECT i AS event_id, make_timestamp(1704067200250000 + i * 1900000 + CASE WHEN i > 250 THEN 540000000 ELSE 0 END) AS ts,
+                           i * 7 % 11 AS user_id, ['view', 'click', 'purchase', 'signup', 'error'][1 + i * 3 % 7 % 5] AS event_type,
+                           0.5 + i * 37 % 97 AS value, '{{"k": ' || i * 13 % 90 || '}}' AS props
+                    FROM (SELECT range::BIGINT AS i FROM range(500))) TO '{tmp_path}/events.parquet'""")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    made = entry.queries()["t03_ticks_stream"](spark, str(tmp_path))
+    assert made.count() > 3000
+    assert compare(made, streamed_ticks_sql(SECOND, HORIZONS), con) == []

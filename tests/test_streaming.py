@@ -194,6 +194,22 @@ def test_streaming_ticks_equal_batch_ticks_by_the_second(spark):
     assert list(want[0]) == [f.name for f in tick_plan.TICK_SCHEMA]
 
 
+def test_streaming_ticks_carry_their_state_over_micro_batches(spark):
+    feeds = tick_feeds(spark)
+    changes = feeds[2].unionByName(spark.createDataFrame(  # a change without a price names no level
+        [("H", at(20.05), 5000, 0, "l2update", "buy", None, 3.0)], feeds[2].schema))
+    want = as_dicts(tick_plan.ticks(*feeds), "symbol", "timestamp")
+    streams = [stream_of(spark, df, files=3) for df in (*feeds[:2], changes)]
+    rows, query = drain(ST.streaming_ticks(*streams, lateness="30 seconds"))
+    got = as_dicts(rows, "symbol", "timestamp")
+    keys = {(r["symbol"], r["timestamp"]) for r in got}
+    assert sum(p.stateOperators[0].numRowsUpdated > 0 for p in query.recentProgress) > 1
+    assert len(keys) == len(got) > 80 and dropped_late(query) == 0
+    for r in want:  # the order flow does count it
+        r["ofi_1s"] += 3.0 * (r["symbol"] == "H" and r["timestamp"] == int(at(21).timestamp() * 1000))
+    equal(got, [r for r in want if (r["symbol"], r["timestamp"]) in keys])
+
+
 def test_one_tick_by_hand(spark):
     """One second by hand: book quotes, depth, flow, impact, health with volatility 0 read as 1."""
     deals = trades(spark, [("X", 0.2, 1, 100.0, 2.0, "buy"), ("X", 0.6, 2, 104.0, 1.0, "sell")])

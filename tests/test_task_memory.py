@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pytest
 
 from tapeworks.operators import book
 from tapeworks.streaming import book as SK
@@ -176,6 +177,60 @@ def test_quiet_ticks_come_out_in_batches():
     assert whole["seq"].tolist() == [i * step for i in range(n + 1)] and whole["volume_1h"].iloc[-2:].tolist() == [1.0, 2.0]
 
 
+def tick_steps(n, seed=3):
+    """Steps of one symbol with silences, tickers without a price, and book changes, in no order."""
+    rnd, step, bucket, rows = np.random.default_rng(seed), 1_000_000, 0, []
+    for i in range(n):
+        bucket += step * int(rnd.choice([1, 1, 1, 2, 9, 400]))
+        m, traded = int(rnd.integers(0, 4)), bool(rnd.random() < 0.6)
+        price = [float(x) for x in rnd.integers(90, 110, 3)]
+        rows.append({
+            "bucket": bucket, "buy_volume": float(rnd.integers(0, 5)) if traded else 0.0, "sell_volume": float(rnd.integers(0, 5)) if traded else 0.0,
+            "trade_count": int(traded), "vwap": price[0], "avg_price": price[0] if traded else None, "signed": 1.0 if traded else None,
+            "ofi": float(m), "change__us": bucket + np.arange(m), "change_seq": np.arange(m), "change_kind_code": np.zeros(m, "int8"),
+            "change_side_code": (np.arange(m) % 2).astype("int8"), "change_price": rnd.integers(95, 105, m).astype(float),
+            "change_size": rnd.integers(0, 3, m).astype(float), "first_price": price[0] if traded else None,
+            "first_signed": 1.0 if traded else None, "last_trade": price[1] if traded else None, "last_price": price[2] if traded else None,
+            "ticker": None if i % 5 else [0.0 if i % 20 == 10 else 100.0 + i, 1.0, 2.0, None, 4.0], "quote": None if i % 7 else [99.0, 101.0],
+        })
+    return step, pd.DataFrame(rows)
+
+
+def made_ticks(step, widths, parts):
+    maker = ST.TickMaker(step, widths, 50)
+    maker.init(Handle())
+    return pd.concat([x for part in parts for x in maker.handleInputRows(("X",), iter(part), None)], ignore_index=True)
+
+
+def test_ticks_do_not_depend_on_micro_batches_and_look_back_like_a_scan(monkeypatch):
+    step, rows = tick_steps(120)
+    widths = {"1s": 1, "1min": 7, "1h": 60, "24h_calculated": 1000, "odd": 2.5}
+    widths = {n: int(w * step) for n, w in widths.items()}
+    whole = made_ticks(step, widths, [[rows.sample(frac=1.0, random_state=1)]])
+    monkeypatch.setattr(ST, "BATCH_TICKS", 300)
+    cut = made_ticks(step, widths, [frames(rows[:50].sample(frac=1.0, random_state=2), 7), frames(rows[50:51]), frames(rows[51:])])
+    pd.testing.assert_frame_equal(whole, cut)
+    assert len(whole) > 2000 and (whole["seq"].diff().dropna() > step).any()  # no ticks while the ticker has no price
+    at, price, buy, sell = (whole[c].to_numpy() for c in ("seq", "price", "buy_vol", "sell_vol"))
+    for name, width in widths.items():
+        for i in range(0, len(whole), 13):
+            span = (at > at[i] - width) & (at <= at[i])
+            p, b, s = price[span], buy[span].sum(), sell[span].sum()
+            move = price[i] - p[0]
+            want = [p.max(), p.min(), move, move / p[0] * 100, b + s, b, s]
+            assert whole.loc[i, [f"{m}_{name}" for m in ST.METRICS]].tolist() == pytest.approx(want, abs=1e-9), (name, i)
+
+
+def test_a_long_silence_is_laid_out_in_batches_of_numbers():
+    step, rows = tick_steps(2)
+    rows["bucket"] = [0, 3 * ST.BATCH_TICKS * step]
+    maker = ST.TickMaker(step, {"1s": step, "24h_calculated": 86_400 * step}, 50)
+    maker.init(Handle())
+    made = list(maker.handleInputRows(("X",), [rows], None))
+    assert max(map(len, made)) <= ST.BATCH_TICKS and sum(map(len, made)) == 3 * ST.BATCH_TICKS + 1
+    assert {k.kind for x in made for c, k in x.dtypes.items() if c not in ("symbol", "ts")} <= set("if")  # no book in a tick
+
+
 def test_gathered_columns_own_their_values():
     pdf = changes(1000)
     held = gather(frames(pdf, 300), ["us", "price", "side"])
